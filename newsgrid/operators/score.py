@@ -14,6 +14,18 @@ from newsgrid.operators.classify import alias_tags, model_tags, topic_tags
 from newsgrid.operators.lookups import best_rank
 
 
+def staged(df: DataFrame, columns: dict) -> DataFrame:
+    """Add or replace columns through a one-row generator.
+
+    Later filters cannot be substituted through it, so a rule that reads an earlier rule several
+    times costs one evaluation instead of an expression that grows with every stage.
+    """
+    row = F.struct(*[c.alias(f"_s_{name}") for name, c in columns.items()])
+    kept = [c for c in df.columns if c not in columns]
+    made = df.select("*", F.inline(F.array(row)))
+    return made.select(*kept, *[F.col(f"_s_{name}").alias(name) for name in columns])
+
+
 def recency_score(published_at, as_of: str):
     """100 − 7.5 per day of age within [35, 100]; future dates count as now, undated rows get 45."""
     days = F.greatest(F.lit(0.0), seconds_between(as_of_lit(as_of), published_at) / F.lit(86400.0))
@@ -30,7 +42,8 @@ def with_text(stories: DataFrame, config: dims.PriorityConfig) -> DataFrame:
     snips = F.col("snippets") if "snippets" in stories.columns else F.array().cast("array<string>")
     text = stories.withColumn("scoring_text", scoring_text("title", "category", "region", "entities", snips))
     low = text.withColumn("_low", F.lower("scoring_text"))
-    return low.withColumns(
+    return staged(
+        low,
         {
             "priority_matches": alias_tags("_low", config),
             "rule_tags": topic_tags("_low", config),
@@ -38,7 +51,7 @@ def with_text(stories: DataFrame, config: dims.PriorityConfig) -> DataFrame:
             "direct_lessor_event": contains_any("_low", dims.DIRECT_TERMS),
             "material_event": contains_any("_low", config.material_terms),
             "text_models": model_tags("scoring_text", "entities"),
-        }
+        },
     ).drop("_low")
 
 
@@ -52,7 +65,8 @@ def rule_annotation(df: DataFrame) -> DataFrame:
     materiality = at_least(
         F.size("priority_matches") > 0, 78, at_least(severe, 88, clamp_int("importance_score", 35, 90, 55))
     )
-    return df.withColumns(
+    return staged(
+        df,
         {
             "summary_zh": F.concat(F.lit(dims.SUMMARY_PREFIX), ws_clean("title")),
             "why_it_matters_zh": F.coalesce(F.try_element_at(why, category), F.lit(dims.WHY_TEXT_DEFAULT)),
@@ -67,7 +81,7 @@ def rule_annotation(df: DataFrame) -> DataFrame:
             "key_entities": F.transform("priority_matches", lambda m: m["name"]),
             "aircraft_tags": F.col("text_models"),
             "ai_mode": F.lit("fallback_rules"),
-        }
+        },
     )
 
 
@@ -75,14 +89,15 @@ def macro_flags(df: DataFrame) -> DataFrame:
     df = df.withColumn("all_tags", F.array_union("rule_tags", "macro_tags"))
     macro, lessor = F.col("macro_relevance"), F.col("lessor_relevance")
     related = (F.size("all_tags") > 0) & ((F.col("category") == dims.MACRO_CATEGORY) | (macro >= 55) | (lessor >= 70))
-    df = df.withColumn("macro_related", F.coalesce(related, F.lit(False)))
+    df = staged(df, {"macro_related": F.coalesce(related, F.lit(False))})
     systemic = F.col("macro_related") & ((macro >= 76) | (F.size("all_tags") >= 2)) & (lessor >= 62)
     return df.withColumn("systemic_macro", systemic)
 
 
 def weighted_score(df: DataFrame, config: dims.PriorityConfig, as_of: str) -> DataFrame:
     """Weighted base, bonuses and floors, with every component kept."""
-    df = macro_flags(df).withColumns(
+    df = staged(
+        macro_flags(df),
         {
             "source_quality": best_rank("source_names"),
             "recency": recency_score("published_at", as_of),
@@ -90,7 +105,8 @@ def weighted_score(df: DataFrame, config: dims.PriorityConfig, as_of: str) -> Da
                 F.lit(100), F.lit(55) + F.greatest(F.lit(0), F.coalesce(F.nullif("source_count", F.lit(0)), F.lit(1)) - 1) * 15
             ).cast("int"),
             "priority_entity": F.size("priority_matches") > 0,
-        }
+            "systemic_macro": F.col("systemic_macro"),
+        },
     )
     material = F.col("priority_entity") & (
         F.col("material_event") | F.col("severe_event") | (F.col("lessor_relevance") >= 84) | (F.col("market_materiality") >= 82)
@@ -100,7 +116,7 @@ def weighted_score(df: DataFrame, config: dims.PriorityConfig, as_of: str) -> Da
         + F.col("recency") * 0.12 + F.col("multi_source") * 0.06,
         0,
     ).cast("int")
-    df = df.withColumns({"priority_material_event": material, "weighted_base": base})
+    df = staged(df, {"priority_material_event": material, "weighted_base": base})
     add = lambda flag, n: F.when(F.col(flag), F.lit(n)).otherwise(F.lit(0))
     many = F.when(F.size("priority_matches") >= 2, F.lit(config.multi_entity_bonus)).otherwise(F.lit(0))
     bonuses = (
@@ -118,9 +134,9 @@ def weighted_score(df: DataFrame, config: dims.PriorityConfig, as_of: str) -> Da
             )
         ]
     )
-    df = df.withColumns({"bonuses": bonuses, "applied_floor": floor})
+    df = staged(df, {"bonuses": bonuses, "applied_floor": floor})
     raw = F.least(F.lit(100), F.col("weighted_base") + F.col("bonuses"))
-    return df.withColumn("score", clamp_int(F.greatest(raw, F.coalesce("applied_floor", F.lit(0)))))
+    return staged(df, {"score": clamp_int(F.greatest(raw, F.coalesce("applied_floor", F.lit(0))))})
 
 
 def critical_decision(df: DataFrame) -> DataFrame:
@@ -141,7 +157,7 @@ def critical_decision(df: DataFrame) -> DataFrame:
         .when(systemic, F.lit(dims.REASON_SYSTEMIC))
         .otherwise(F.lit(dims.REASON_OTHER))
     )
-    return df.withColumn("critical", critical).withColumn("critical_reason_zh", reason)
+    return staged(staged(df, {"critical": critical}), {"critical_reason_zh": reason})
 
 
 COMPONENTS = [

@@ -75,7 +75,7 @@ def main(argv):
             msg = f"{type(exc).__name__}: {str(exc)[:700]}"
         if msg:
             bad += 1
-        if msg or time.time() - start > 4:
+        if msg or time.time() - start > 2:
             print(f"{name:28s} {time.time() - start:5.1f}s {'ok' if not msg else 'FAIL ' + msg}", flush=True)
     print(f"{len(names) - bad}/{len(names)} ok, {sum(n in sqls for n in names)} with SQL")
 
