@@ -27,13 +27,11 @@ def model_tags(text, entities, cap: int = 12) -> Column:
     return F.slice(F.array_distinct(F.transform(codes, lambda x: F.replace(F.upper(x), F.lit(" "), F.lit("")))), 1, cap)
 
 
-def keyword_category(low, channel, keywords=None) -> Column:
-    """Category with most distinct keywords present; first listed wins ties, channel default on none."""
-    keywords = keywords or dims.KEYWORDS
-    low, channel = as_col(low), F.coalesce(as_col(channel), F.lit(""))
-    scores = F.array(*[count_terms(low, terms) for terms in keywords.values()])
-    names = F.array(*[F.lit(k) for k in keywords])
-    place = lambda s: F.get(names, (F.array_position(s, F.array_max(s)) - 1).cast("int"))
+def category_of(scores, channel, names=tuple(dims.KEYWORDS)) -> Column:
+    """Category of the highest score; first listed wins ties, channel default when all are zero."""
+    channel = F.coalesce(as_col(channel), F.lit(""))
+    listed = F.array(*[F.lit(k) for k in names])
+    place = lambda s: F.get(listed, (F.array_position(s, F.array_max(s)) - 1).cast("int"))
     default = F.coalesce(
         *[F.when(channel == k, F.lit(v)) for k, v in dims.CHANNEL_CATEGORY.items()],
         *[F.when(channel.startswith(k), F.lit(v)) for k, v in dims.CHANNEL_PREFIX_CATEGORY.items()],
@@ -42,6 +40,22 @@ def keyword_category(low, channel, keywords=None) -> Column:
     return F.coalesce(bind(scores, lambda s: F.when(F.array_max(s) > 0, place(s))), default)
 
 
+def keyword_category(low, channel, keywords=None) -> Column:
+    """Category with most distinct keywords present in the lower-cased text."""
+    keywords = keywords or dims.KEYWORDS
+    return category_of(F.array(*[count_terms(low, terms) for terms in keywords.values()]), channel, tuple(keywords))
+
+
+def term_mask(low, terms) -> Column:
+    """One bit per term present; masks of many texts combine with bit_or."""
+    low = as_col(low)
+    bits = [F.when(low.contains(t), F.lit(1 << i)).otherwise(F.lit(0)) for i, t in enumerate(terms)]
+    total = F.lit(0).cast("bigint")
+    for bit in bits:
+        total = total.bitwiseOR(bit.cast("bigint"))
+    return total
+
+
 def category_lock(low, provisional, patterns=None) -> Column:
     """The one category whose strong patterns match, if it agrees with a valid provisional one."""
     patterns = patterns or dims.LOCK_PATTERNS
@@ -53,12 +67,16 @@ def category_lock(low, provisional, patterns=None) -> Column:
     return bind(hits, lambda h: F.when((F.size(h) == 1) & agrees(h), F.get(h, F.lit(0))))
 
 
-def provisional_importance(low, top_rank) -> Column:
+def importance_of(n_strong, top_rank) -> Column:
     bonus = F.floor(F.greatest(F.lit(0), as_col(top_rank) - 60) / 4)
-    terms = F.least(F.lit(24), count_terms(low, dims.STRONG_TERMS) * 4)
+    terms = F.least(F.lit(24), as_col(n_strong) * 4)
     return F.least(F.greatest(F.lit(45) + bonus + terms, F.lit(35)), F.lit(88)).cast("int")
 
 
+def provisional_importance(low, top_rank) -> Column:
+    return importance_of(count_terms(low, dims.STRONG_TERMS), top_rank)
+
+
 def alias_tags(low, config: dims.PriorityConfig) -> Column:
     """Watched entities any of whose aliases occur, as array<struct<name,type>> in list order."""
     low = as_col(low)

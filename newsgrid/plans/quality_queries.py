@@ -221,7 +221,7 @@ def health_metrics(spark, sf):
 
 
 _D_METRICS = f"""m AS (SELECT 'failed_checks' AS metric, CAST(count_if(NOT ok) AS DOUBLE) AS value FROM healthy
-  UNION ALL SELECT 'feed_age_hours', date_diff('second', max(checked_at), TIMESTAMP '{EVENTS_AS_OF}') / 3600.0 FROM healthy
+  UNION ALL SELECT 'feed_age_hours', date_sub('second', max(checked_at), TIMESTAMP '{EVENTS_AS_OF}') / 3600.0 FROM healthy
   UNION ALL SELECT 'newest_story_age_hours', date_diff('second', max(published_at), {_AS}) / 3600.0 FROM news_items
   UNION ALL SELECT 'fallback_ratio', count_if(n_chars % 2 = 1) / count(*) FROM news_items
   UNION ALL SELECT lower(source) || '_age_days', round_even(date_diff('second', max(published_at), {_AS}) / 86400.0, 2) FROM news_items WHERE published_at IS NOT NULL GROUP BY 1)"""
