@@ -7,7 +7,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from newsgrid.session import local_session  # noqa: E402
 
-DATA = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
+DATA = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 
 @pytest.fixture(scope="session")
