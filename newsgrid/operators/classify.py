@@ -17,7 +17,7 @@ def extract_terms(title, summary, patterns=tuple(dims.ENTITY_PATTERNS), cap: int
     """Pattern matches in title and summary, group by group, case-insensitively distinct, capped."""
     parts = F.filter(F.array(ws_clean(title), ws_clean(summary)), lambda x: x != "")
     text = F.array_join(parts, " | ")
-    return F.slice(distinct_ci(F.concat(*[_found(text, p) for p in patterns])), 1, cap)
+    return bind(text, lambda t: F.slice(distinct_ci(F.concat(*[_found(t, p) for p in patterns])), 1, cap))
 
 
 def model_tags(text, entities, cap: int = 12) -> Column:

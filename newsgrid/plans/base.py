@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from newsgrid import dims, views
 from newsgrid.functions.text import ws_clean
 from newsgrid.operators.score import enrich, with_text
+from newsgrid.session import cut_lineage
 
 
 def scoring_input(spark, sf):
@@ -23,6 +24,11 @@ def enriched(spark, sf):
     return enrich(scoring_input(spark, sf), dims.SAMPLE_CONFIG, views.AS_OF)
 
 
+def served_table(df):
+    """The enriched stories as the stored table a feed is searched in."""
+    return cut_lineage(df)
+
+
 def joined(column: str, name: str):
     """An array column as one sorted, '|'-joined text, the form the checks compare."""
     return F.array_join(F.array_sort(column), "|").alias(name)

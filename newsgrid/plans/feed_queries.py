@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from newsgrid import dims, views
 from newsgrid.functions.text import MODEL_KEY_PATTERN
 from newsgrid.operators import aggregates, feed, ranking
-from newsgrid.plans.base import enriched
+from newsgrid.plans.base import enriched, served_table
 from newsgrid.plans.duck_sql import SCORED
 from newsgrid.plans.registry import query
 from newsgrid.views import AS_OF, WITH_NEWS, WITH_STORIES, news_items
@@ -140,7 +140,7 @@ SEARCHABLE = f"""{SCORED}, {_D_COMPANIES}, lists AS (SELECT id, list_sort(list(c
     UNION ALL SELECT 'macro', id FROM s WHERE macro_related""",
 )
 def _(spark, sf):
-    df = enriched(spark, sf)
+    df = served_table(enriched(spark, sf))
     searches = {
         "text": dict(q="TH ", date_from="2024-01-20", date_to="2024-04-10"),
         "source": dict(source="Reuters", category="Engines & MRO"),
@@ -163,7 +163,7 @@ def _(spark, sf):
       UNION SELECT 'company', company FROM companies) SELECT facet, value FROM f WHERE value <> ''""",
 )
 def _(spark, sf):
-    return feed.facet_values(enriched(spark, sf))
+    return feed.facet_values(served_table(enriched(spark, sf)))
 
 
 @query(
@@ -172,4 +172,4 @@ def _(spark, sf):
       FROM s WHERE region = 'Europe' AND CAST(published_at AS DATE) >= DATE '2024-02-01'""",
 )
 def _(spark, sf):
-    return aggregates.filtered_totals(feed.feed_search(served(spark, sf), region="Europe", date_from="2024-02-01"))
+    return aggregates.filtered_totals(feed.feed_search(served_table(served(spark, sf)), region="Europe", date_from="2024-02-01"))

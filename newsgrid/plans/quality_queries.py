@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from newsgrid import dims, views
 from newsgrid.operators import aggregates, quality, ranking
-from newsgrid.plans.base import enriched
+from newsgrid.plans.base import enriched, served_table
 from newsgrid.plans.duck_sql import SCORED, q
 from newsgrid.plans.feed_queries import _ORDER
 from newsgrid.plans.registry import query
@@ -82,7 +82,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     n = F.length("title")
-    df = enriched(spark, sf).withColumns(
+    df = served_table(enriched(spark, sf)).withColumns(
         {
             "importance_score": F.when(n % 3 == 0, F.col("importance_score") - 15).otherwise(F.col("importance_score")),
             "why_it_matters_zh": F.when(n % 7 == 0, F.lit(" ")).otherwise(F.col("why_it_matters_zh")),
@@ -101,7 +101,7 @@ def _(spark, sf):
     UNION ALL SELECT 'feed_not_top', 'error', id, CASE WHEN place = 10 THEN 'nobody' END FROM top WHERE place = 10""",
 )
 def _(spark, sf):
-    df = enriched(spark, sf)
+    df = served_table(enriched(spark, sf))
     feed = ranking.top_feed(df, 10).select(
         F.lit("feed").alias("list"), "place", F.when(F.col("place") == 10, F.lit("nobody")).otherwise(F.col("id")).alias("id")
     )

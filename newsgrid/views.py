@@ -111,8 +111,17 @@ def duck(template: str) -> str:
     return template.format(**_DUCK)
 
 
+TEXT_TABLES = ("documents", "pages")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A base table. Text tables of fewer files than cores are spread out, because a small file is one
+    task however much work its texts cause; with many files the scan is already parallel."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if name in TEXT_TABLES and len(df.inputFiles()) < cores:
+        return df.repartition(cores)
+    return df
 
 
 def _view(spark, sf_dir, base: str, template: str) -> DataFrame:
