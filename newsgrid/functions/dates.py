@@ -103,12 +103,14 @@ def parse_date_multi(c) -> Column:
 
 def parse_day(c) -> Column:
     """Calendar day written as ISO, "2 January 2024", "2 Jan 2024", "January 2 2024" or "Jan 2, 2024"."""
-    v = F.trim(F.regexp_replace(F.replace(as_col(c), F.lit(","), F.lit(" ")), r"(?U)\s+", " "))
-    return F.coalesce(
-        _whole(v, r"^(\d{4})-(\d{1,2})-(\d{1,2})$", 1, 2, 3, False),
-        _whole(v, r"^(\d{1,2}) ([A-Za-z]{3,9}) (\d{4})$", 3, 2, 1, True),
-        _whole(v, r"^([A-Za-z]{3,9}) (\d{1,2}) (\d{4})$", 3, 1, 2, True),
-    ).cast("date")
+    return bind(
+        F.trim(F.regexp_replace(F.replace(as_col(c), F.lit(","), F.lit(" ")), r"(?U)\s+", " ")),
+        lambda v: F.coalesce(
+            _whole(v, r"^(\d{4})-(\d{1,2})-(\d{1,2})$", 1, 2, 3, False),
+            _whole(v, r"^(\d{1,2}) ([A-Za-z]{3,9}) (\d{4})$", 3, 2, 1, True),
+            _whole(v, r"^([A-Za-z]{3,9}) (\d{1,2}) (\d{4})$", 3, 1, 2, True),
+        ).cast("date"),
+    )
 
 
 _ISO = (

@@ -8,24 +8,13 @@ from pyspark.sql import functions as F
 from newsgrid import dims
 from newsgrid.functions import ids
 from newsgrid.functions.dates import as_of_lit, seconds_between
+from newsgrid.functions.frames import staged
 from newsgrid.functions.numbers import clamp_int
 from newsgrid.functions.text import as_col, contains_any, scoring_text, ws_clean
 from newsgrid.operators.classify import alias_tags, model_tags, topic_tags
 from newsgrid.operators.lookups import best_rank
 
 
-def staged(df: DataFrame, columns: dict) -> DataFrame:
-    """Add or replace columns through a one-row generator.
-
-    Later filters cannot be substituted through it, so a rule that reads an earlier rule several
-    times costs one evaluation instead of an expression that grows with every stage.
-    """
-    row = F.struct(*[c.alias(f"_s_{name}") for name, c in columns.items()])
-    kept = [c for c in df.columns if c not in columns]
-    made = df.select("*", F.inline(F.array(row)))
-    return made.select(*kept, *[F.col(f"_s_{name}").alias(name) for name in columns])
-
-
 def recency_score(published_at, as_of: str):
     """100 − 7.5 per day of age within [35, 100]; future dates count as now, undated rows get 45."""
     days = F.greatest(F.lit(0.0), seconds_between(as_of_lit(as_of), published_at) / F.lit(86400.0))

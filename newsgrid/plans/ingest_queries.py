@@ -12,7 +12,7 @@ from newsgrid.functions.text import ws_clean
 from newsgrid.operators import aggregates, filters, ranking
 from newsgrid.plans.registry import query
 from newsgrid.plans.scalar_queries import d_canonical, d_clean, d_list, d_strip_tags, d_unescape
-from newsgrid.session import shared_dir
+from newsgrid.session import cut_lineage, shared_dir
 from newsgrid.sources import disclosures, envelope, feeds, listing, prices, sinks
 from newsgrid.streaming import jobs
 from newsgrid.views import AS_OF, WITH_NEWS, WITH_OBS, news_items, observations, table
@@ -138,7 +138,8 @@ def price_pages(spark, sf):
         F.date_format(day(3), "yyyy-MM-dd"),
         F.lit("'}]</script></html>"),
     )
-    return table(spark, sf, "orders").select(F.col("o_orderkey").alias("page_id"), html.alias("html"))
+    pages = views.spread(table(spark, sf, "orders")).select(F.col("o_orderkey").alias("page_id"), html.alias("html"))
+    return cut_lineage(pages)  # the landed pages
 
 
 @query(

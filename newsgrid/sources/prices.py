@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsgrid.functions.dates import as_of_lit, epoch_ms_date, epoch_s_date, local_time, make_ts, month_no, parse_day
+from newsgrid.functions.frames import staged
 from newsgrid.functions.numbers import parse_number
 from newsgrid.functions.text import strip_tags, ws_clean
 from newsgrid.operators.dedupe import first_per_key
@@ -28,9 +29,10 @@ def table_cells(pages: DataFrame, key: str = "page_id") -> DataFrame:
     """(page, table, row, cells, headers): cell texts of every table row."""
     tables = pages.select(key, F.posexplode(_all(F.col("html"), r"(?is)<table\b.*?</table>")).alias("table_no", "t"))
     headers = F.transform(_all(F.col("t"), r"(?is)<th\b[^>]*>(.*?)</th>", 1), lambda h: F.lower(strip_tags(h)))
-    rows = tables.select(key, "table_no", headers.alias("headers"), F.posexplode(_all(F.col("t"), r"(?is)<tr\b.*?(?:</tr>|$)")).alias("row_no", "r"))
-    cells = F.transform(_all(F.col("r"), _CELL, 1), strip_tags)
-    return rows.select(key, "table_no", "row_no", "headers", cells.alias("cells")).filter(F.size("cells") >= 2)
+    headed = tables.select(key, "table_no", "t", headers.alias("headers"))  # before the rows, so once per table
+    rows = headed.select(key, "table_no", "headers", F.posexplode(_all(F.col("t"), r"(?is)<tr\b.*?(?:</tr>|$)")).alias("row_no", "r"))
+    cells = staged(rows, {"cells": F.transform(_all(F.col("r"), _CELL, 1), strip_tags)})
+    return cells.select(key, "table_no", "row_no", "headers", "cells").filter(F.size("cells") >= 2)
 
 
 def price_rows(pages: DataFrame, lo: float = 20, hi: float = 500, key: str = "page_id") -> DataFrame:
@@ -41,9 +43,9 @@ def price_rows(pages: DataFrame, lo: float = 20, hi: float = 500, key: str = "pa
     value = F.coalesce(
         F.when(mid > 0, parse_number(F.get("cells", (mid - 1).cast("int")), lo, hi)), parse_number(F.get("cells", F.lit(1)), lo, hi)
     )
-    in_tables = cells.select(
-        key, parse_day(F.get("cells", F.lit(0))).alias("obs_date"), value.alias("value"), F.lit(0).alias("phase"),
-        (F.col("table_no") * 1_000_000 + F.col("row_no")).alias("pos"),
+    read = staged(cells, {"obs_date": parse_day(F.get("cells", F.lit(0))), "value": value})
+    in_tables = read.select(
+        key, "obs_date", "value", F.lit(0).alias("phase"), (F.col("table_no") * 1_000_000 + F.col("row_no")).alias("pos")
     )
 
     def in_json(pattern: str, day_group: int, value_group: int, phase: int) -> DataFrame:

@@ -114,14 +114,16 @@ def duck(template: str) -> str:
 TEXT_TABLES = ("documents", "pages")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Share a table of fewer files than cores among the cores, where its rows cause much work: a small
+    file is one task. With many files the scan is already parallel and nothing happens."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A base table. Text tables of fewer files than cores are spread out, because a small file is one
-    task however much work its texts cause; with many files the scan is already parallel."""
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if name in TEXT_TABLES and len(df.inputFiles()) < cores:
-        return df.repartition(cores)
-    return df
+    return spread(df) if name in TEXT_TABLES else df
 
 
 def _view(spark, sf_dir, base: str, template: str) -> DataFrame:
