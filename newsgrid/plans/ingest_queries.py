@@ -389,10 +389,7 @@ def _(spark, sf):
     from newsgrid.plans.cluster_queries import week_items
 
     items = week_items(spark, sf).withColumn("discovered_via", F.lit("direct"))
-    empty = spark.createDataFrame(
-        [],
-        "id string, title string, category string, region string, analysis_mode string, published_at timestamp_ntz, importance_score int, "
-        "entities array<string>, sources array<struct<name:string,url:string>>, raw_ids array<string>",
-    )
-    out = jobs.archive_step(empty, items, AS_OF)
-    return out.select("id", "title", "category", "importance_score", F.size("raw_ids").alias("n_items"))
+    empty = lambda schema: spark.createDataFrame([], schema)
+    stories, members = jobs.archive_step(empty(jobs.STORY_SCHEMA), empty(jobs.MEMBER_SCHEMA), items, AS_OF)
+    counts = members.groupBy("id").agg(F.count(F.lit(1)).alias("n_items"))
+    return stories.join(counts, "id").select("id", "title", "category", "importance_score", "n_items")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from newsgrid.functions.urls import canonical_url
 from newsgrid.operators import cluster, consolidate, dedupe, filters, rollup
+from newsgrid.session import cut_lineage
 
 
 def file_stream(spark: SparkSession, folder: str, schema, glob: str = "*.parquet") -> DataFrame:
@@ -79,25 +80,32 @@ def pool_step(stored: DataFrame, batch: DataFrame, as_of: str, days: int, retire
     return dedupe.pool_merge(stored, batch, as_of, days, retired, ("id",))
 
 
-STORY_COLUMNS = [
-    "id", "title", "category", "region", "analysis_mode", "published_at", "importance_score", "entities", "sources", "raw_ids",
-]
+STORY_COLUMNS = ["id", "title", "category", "region", "analysis_mode", "published_at", "importance_score", "entities", "sources"]
+STORY_SCHEMA = (
+    "id string, title string, category string, region string, analysis_mode string, published_at timestamp_ntz, importance_score int, "
+    "entities array<string>, sources array<struct<name:string,url:string>>"
+)
+MEMBER_SCHEMA = "id string, raw_id string"
 
 
-def archive_step(archive: DataFrame, items: DataFrame, as_of: str, days: int = 7, keep_days: int = 120) -> DataFrame:
-    """Archive after one batch: late and already processed items are ignored, new ones clustered, rolled
-    up and folded into the stored stories; stories past retention leave."""
-    recent = filters.recent_window(items, as_of, days).withColumn("rid", F.col("id"))
-    new = dedupe.incremental_anti_join(recent, archive).drop("rid")
-    clustered = new.join(cluster.leader_cluster(new), "id")
+def archive_step(archive: DataFrame, members: DataFrame, items: DataFrame, as_of: str, days: int = 7, keep_days: int = 120):
+    """(stories, members) after one batch. Late and already processed items are ignored, new ones are
+    clustered, rolled up and folded into the stored stories; stories past retention leave.
+
+    ``members`` (id, raw_id) is the table form of the stories' raw ids, so an event of any size stays
+    many short rows.
+    """
+    recent = filters.recent_window(items, as_of, days)
+    new = recent.join(members.select(F.col("raw_id").alias("id")).distinct(), "id", "left_anti")
+    clustered = cut_lineage(new.join(cluster.leader_cluster(new), "id"))
     stories = rollup.rule_stories(clustered, as_of)
-    ids = rollup.story_members(clustered, stories).groupBy("id").agg(F.array_sort(F.collect_list("raw_id")).alias("raw_ids"))
-    slim = lambda df: df.withColumn("sources", F.transform("sources", lambda s: F.struct(s["name"].alias("name"), s["url"].alias("url"))))
-    fresh = slim(stories).join(ids, "id").select(*STORY_COLUMNS)
-    every = filters.archive_retention(archive.select(*STORY_COLUMNS).unionByName(fresh), as_of, keep_days)
-    folded = consolidate.consolidate(every)
-    members = consolidate.event_ids(every)
-    raw = members.join(every.select("id", F.explode("raw_ids").alias("raw")), "id").groupBy(F.col("event_id").alias("id")).agg(
-        F.array_sort(F.collect_set("raw")).alias("raw_ids")
-    )
-    return folded.join(raw, "id").select(*STORY_COLUMNS)
+    slim = F.transform("sources", lambda s: F.struct(s["name"].alias("name"), s["url"].alias("url")))
+    fresh = cut_lineage(stories.withColumn("sources", slim).select("cluster_id", *STORY_COLUMNS))
+    fresh_members = rollup.story_members(clustered, fresh)
+    every = archive.select(*STORY_COLUMNS).unionByName(fresh.select(*STORY_COLUMNS))
+    every = cut_lineage(filters.archive_retention(every, as_of, keep_days))
+    all_members = members.unionByName(fresh_members).join(every.select("id"), "id", "left_semi")
+    groups = consolidate.event_groups(every, raw_members=all_members)
+    folded = consolidate.consolidate(every, groups=groups).select(*STORY_COLUMNS)
+    moved = all_members.join(groups[0].select("id", "event_id"), "id")
+    return folded, moved.select(F.col("event_id").alias("id"), "raw_id").distinct()
