@@ -5,11 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from newsgrid import dims, views
-from newsgrid.functions.text import ws_clean
 from newsgrid.operators import dedupe, filters
 from newsgrid.plans.duck_sql import d_any, q
 from newsgrid.plans.registry import query
-from newsgrid.plans.scalar_queries import d_canonical, d_clean, d_iso, d_list, d_norm
+from newsgrid.plans.scalar_queries import d_canonical, d_clean, d_norm
 from newsgrid.views import AS_OF, WITH_NEWS, WITH_OBS, WITH_STORIES, news_items, observations, table
 
 

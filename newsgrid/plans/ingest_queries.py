@@ -8,10 +8,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from newsgrid import views
-from newsgrid.functions.text import ws_clean
 from newsgrid.operators import aggregates, filters, ranking
 from newsgrid.plans.registry import query
-from newsgrid.plans.scalar_queries import d_canonical, d_clean, d_list, d_strip_tags, d_unescape
+from newsgrid.plans.scalar_queries import d_strip_tags, d_unescape
 from newsgrid.session import cut_lineage, shared_dir
 from newsgrid.sources import disclosures, envelope, feeds, listing, prices, sinks
 from newsgrid.streaming import jobs

@@ -5,12 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from newsgrid import dims, views
-from newsgrid.functions.text import ws_clean
 from newsgrid.operators import lookups, score
 from newsgrid.plans.base import joined, texted
 from newsgrid.plans.duck_sql import RULED, q
 from newsgrid.plans.registry import query
-from newsgrid.plans.scalar_queries import d_clean, d_fingerprint, d_list
+from newsgrid.plans.scalar_queries import d_clean, d_fingerprint
 from newsgrid.views import WITH_NEWS, WITH_STORIES, news_items, table
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from newsgrid import dims, views
 from newsgrid.functions import dates, ids, numbers, text, urls
 from newsgrid.plans.registry import query
-from newsgrid.views import WITH_NEWS, news_items, observations, table
+from newsgrid.views import WITH_NEWS, news_items, table
 
 DUCK_WS = r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
 

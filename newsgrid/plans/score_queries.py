@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 from newsgrid import dims, views
 from newsgrid.functions.text import alias_match, contains_any, ws_clean
 from newsgrid.operators import classify, lookups, score
-from newsgrid.plans.base import enriched, joined, scoring_input, texted
+from newsgrid.plans.base import enriched, joined, texted
 from newsgrid.plans.duck_sql import (
-    D_MODELS, D_QUALITY, D_RECENCY, RULED, SCORED, TEXTED, d_alias, d_any, d_compact, d_count, d_distinct_ci, d_priority, d_rank, d_topics, q,
+    D_QUALITY, D_RECENCY, RULED, SCORED, TEXTED, d_alias, d_compact, d_count, d_distinct_ci, d_rank, q,
 )
 from newsgrid.plans.registry import query
 from newsgrid.plans.scalar_queries import d_clean

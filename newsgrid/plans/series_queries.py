@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from newsgrid import views
 from newsgrid.operators import aggregates, ranking, series
 from newsgrid.plans.registry import query
-from newsgrid.views import EVENTS_AS_OF, WITH_OBS, observations, table
+from newsgrid.views import WITH_OBS, observations, table
 
 _COLS = ("series", "obs_date", "event_id", "value")
 
