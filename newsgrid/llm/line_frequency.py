@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from newsgrid.llm.common import column_map, cut_lineage, salted
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
-SYMBOL = re.compile(r"[#*$%&|<>]")
+SYMBOLS = "#*$%&|<>"
 WINDOW = 8
 
 
@@ -40,31 +40,28 @@ def repeated_words(words: list[str], window: int = WINDOW) -> int:
     return int((np.cumsum(edge)[:-1] > 0).sum())
 
 
-def base_counts(text: str | None) -> tuple[int, int, int, int, int]:
-    words = WORD.findall(text or "")
-    lines = [x for x in (text or "").split("\n") if WORD.search(x)]
-    return len(words), sum(map(len, words)), len(SYMBOL.findall(text or "")), len(lines) - len(set(lines)), repeated_words(words)
+def base_counts(text: str | None) -> tuple[list[int], tuple[int, int, int, int, int]]:
+    """Words of each line, and the five counts of the whole text."""
+    text = text or ""
+    lines = text.split("\n")
+    found = [WORD.findall(x) for x in lines]
+    words = [w for x in found for w in x]
+    held = [x for x, w in zip(lines, found, strict=True) if w]
+    symbols = sum(map(text.count, SYMBOLS))
+    return list(map(len, found)), (len(words), sum(map(len, words)), symbols, len(held) - len(set(held)), repeated_words(words))
 
 
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
 def line_key(line):
-    """Lower case, digits alike, runs of anything but letters and digits as one space."""
-    folded = F.regexp_replace(F.regexp_replace(F.lower(line), r"\p{N}", "0"), r"[^\p{L}0]+", " ")
-    return F.xxhash64(F.trim(folded))
-
-
-def lines_of(text: str):
-    """One (hash, words) per line that holds a word."""
-    lines = F.filter(F.split(F.coalesce(text, F.lit("")), "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    words = lambda x: F.size(F.regexp_extract_all(x, F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)))
-    return F.transform(lines, lambda x: F.struct(line_key(x).alias("hash"), words(x).alias("words")))
+    """Lower case, each run of anything but letters as one space."""
+    return F.xxhash64(F.trim(F.regexp_replace(F.lower(line), r"[^\p{L}]+", " ")))
 
 
 def frequent_lines(lined: DataFrame, max_docs: int) -> DataFrame:
     """(host, hash, n_docs) of lines in more than ``max_docs`` documents of the host."""
-    each = lined.select("doc_id", "host", F.explode(F.array_distinct(F.transform("lines", lambda x: x["hash"]))).alias("hash"))
+    each = lined.select("doc_id", "host", F.explode(F.array_distinct("hashes")).alias("hash"))
     return each.groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n_docs")).where(F.col("n_docs") > max_docs)
 
 
@@ -75,19 +72,24 @@ def line_frequency(docs: DataFrame, text: str = "text", host: str = "source", ma
     frequent lines in ``salts`` tasks a line, and only ids, hashes and counts are shuffled.
     """
     keyed = docs.withColumn("_row", F.monotonically_increasing_id())
+    lines = F.split(F.coalesce(text, F.lit("")), "\n")
+    flat = keyed.select("_row", "doc_id", F.col(text).alias("_text"), F.col(host).alias("host"), F.transform(lines, line_key).alias("hashes"))
 
     def counted(frame: pd.DataFrame) -> pd.DataFrame:
-        made = pd.DataFrame([base_counts(x) for x in frame["_text"]], columns=COUNTS)
-        return pd.concat([frame[["_row", "doc_id", "host", "lines"]].reset_index(drop=True), made], axis=1)
+        told = [base_counts(x) for x in frame["_text"]]
+        held = [np.array(w, np.int64) for w, _ in told]
+        out = frame[["_row", "doc_id", "host"]].reset_index(drop=True)
+        out["hashes"] = [np.asarray(h, np.int64)[w > 0] for h, w in zip(frame["hashes"], held, strict=True)]
+        out["line_words"] = [w[w > 0] for w in held]
+        return pd.concat([out, pd.DataFrame([c for _, c in told], columns=COUNTS)], axis=1)
 
-    flat = keyed.select("_row", "doc_id", F.col(text).alias("_text"), F.col(host).alias("host"), lines_of(text).alias("lines"))
     types = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in flat.schema if f.name != "_text")
-    stored = cut_lineage(flat.mapInPandas(column_map(counted), types + "".join(f", {c} long" for c in COUNTS)))
+    stored = cut_lineage(flat.mapInPandas(column_map(counted), f"{types}, line_words array<long>" + "".join(f", {c} long" for c in COUNTS)))
     frequent = salted(frequent_lines(stored, max_docs).select(F.col("host").alias("_host"), F.col("hash").alias("_hash")), salts)
-    each = stored.select("_row", "host", F.explode("lines").alias("line")).withColumn("_s", F.pmod(F.col("_row"), F.lit(salts)).cast("int"))
+    each = stored.select("_row", "host", F.explode(F.arrays_zip(F.col("hashes").alias("hash"), F.col("line_words").alias("words"))).alias("line")).withColumn("_s", F.pmod(F.col("_row"), F.lit(salts)).cast("int"))
     hit = each.join(frequent, F.col("host").eqNullSafe(F.col("_host")) & (F.col("line.hash") == F.col("_hash")) & (F.col("_s") == F.col("_salt")))
     removed = hit.groupBy("_row").agg(F.count(F.lit(1)).alias("n_removed_lines"), F.sum("line.words").alias("n_removed_words"))
-    out = stored.drop("lines", "host").join(removed, "_row", "left").drop("_row").na.fill(0, ["n_removed_lines", "n_removed_words"])
+    out = stored.drop("hashes", "line_words", "host").join(removed, "_row", "left").drop("_row").na.fill(0, ["n_removed_lines", "n_removed_words"])
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     left = F.col("n_words") - F.col("n_removed_words") >= min_left * F.col("n_words")
     return out.withColumn("base_failed", failed).withColumn("kept", ~failed & left)

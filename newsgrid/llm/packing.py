@@ -28,15 +28,12 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = 4096, end_id: int =
     """One row per piece of each document's token ids."""
 
     def cut(frame: pd.DataFrame) -> pd.DataFrame:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encode = loaded(tokenizer).encode_batch_fast
+        words = Words(tokenizer)
         out = []
-        texts = frame["text"].fillna("").tolist()
-        for at in range(0, len(texts), 64):
-            for doc_id, made in zip(frame["doc_id"].iloc[at : at + 64], encode(texts[at : at + 64], add_special_tokens=False), strict=True):
-                ids = np.array([*made.ids, end_id], "<u4")
-                key = None if pd.isna(doc_id) else int(doc_id)
-                out += [(key, i, min(capacity, len(ids) - i), zlib.crc32(ids[i : i + capacity].tobytes()), len(ids)) for i in range(0, len(ids), capacity)]
+        for doc_id, text in zip(frame["doc_id"], frame["text"], strict=True):
+            ids = np.array([*words.ids("" if pd.isna(text) else text), end_id], "<u4")
+            key = None if pd.isna(doc_id) else int(doc_id)
+            out += [(key, i, min(capacity, len(ids) - i), zlib.crc32(ids[i : i + capacity].tobytes()), len(ids)) for i in range(0, len(ids), capacity)]
         return pd.DataFrame(out, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens"]).astype({"doc_id": "Int64"})
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(column_map(cut), PIECE)
@@ -45,13 +42,33 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = 4096, end_id: int =
 _LOADED: dict = {}
 
 
-def loaded(path: str):
-    from tokenizers import Tokenizer
-
-    if path not in _LOADED:
-        _LOADED[path] = Tokenizer.from_file(path)
-        _LOADED[path].encode_special_tokens = True
-    return _LOADED[path]
+class Words:
+    """A tokenizer that drops white space, so the ids of a text are those of its parts between spaces and line feeds.
+
+    Ids of parts are kept for reuse; the store empties when it holds ``most`` of them.
+    """
+
+    def __init__(self, path: str, most: int = 200_000, longest: int = 64):
+        if path not in _LOADED:
+            from tokenizers import Tokenizer
+
+            os.environ["TOKENIZERS_PARALLELISM"] = "false"
+            _LOADED[path] = Tokenizer.from_file(path), {}
+        self.tokenizer, self.known = _LOADED[path]
+        self.most, self.longest = most, longest
+
+    def ids(self, text: str) -> list[int]:
+        known, parts = self.known, text.replace("\n", " ").split(" ")
+        if new := list({p for p in parts if p not in known}):
+            if len(known) + len(new) > self.most:
+                known.clear()
+                new = list({*parts})
+            made = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
+            told = {p: x.ids for p, x in zip(new, made, strict=True)}
+            out = [i for p in parts for i in (known[p] if p in known else told[p])]
+            known.update((p, i) for p, i in told.items() if len(p) <= self.longest)
+            return out
+        return [i for p in parts for i in known[p]]
 
 
 def best_multiset(counts: dict[int, int], capacity: int) -> dict[int, int]:
