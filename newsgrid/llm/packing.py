@@ -48,7 +48,7 @@ class Words:
     Ids of parts are kept for reuse; the store empties when it holds ``most`` of them.
     """
 
-    def __init__(self, path: str, most: int = 200_000, longest: int = 64):
+    def __init__(self, path: str, most: int = 500_000, longest: int = 64):
         if path not in _LOADED:
             from tokenizers import Tokenizer
 
