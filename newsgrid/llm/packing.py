@@ -12,6 +12,7 @@ Null text is empty: one end token. Rows that repeat an id are packed each; other
 from __future__ import annotations
 
 import os
+import re
 import zlib
 
 import numpy as np
@@ -40,6 +41,8 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = 4096, end_id: int =
 
 
 _LOADED: dict = {}
+# A lone stop or comma after a Latin letter is a token of its own; apart, the word before it is found again.
+STOP = re.compile(r"(?<=[A-Za-z])([.,])[ \n]")
 
 
 class Words:
@@ -58,7 +61,7 @@ class Words:
         self.most, self.longest = most, longest
 
     def ids(self, text: str) -> list[int]:
-        known, parts = self.known, text.replace("\n", " ").split(" ")
+        known, parts = self.known, STOP.sub(r" \1 ", text).replace("\n", " ").split(" ")
         if new := list({p for p in parts if p not in known}):
             if len(known) + len(new) > self.most:
                 known.clear()
