@@ -3,8 +3,8 @@
 A text is lower-cased (A-Z), cut into words and joined by single spaces. A rule is a regex over that
 form, a label, a priority and a keyword; only rules whose keyword is among the words are tried, and
 only in texts that hold a keyword at all. A detection inside another of higher priority, or inside a
-longer one of the same priority, is suppressed. Null text is empty. Rows keep their order and extra
-columns; repeated rows are scanned each.
+longer one of the same priority, is suppressed. Null text is empty. Extra columns pass, those named like a
+result are replaced, names with a leading underscore are reserved; repeated rows are scanned each.
 """
 
 from __future__ import annotations
@@ -160,7 +160,8 @@ def scan_licenses(docs: DataFrame, text: str = "text") -> DataFrame:
     base = F.transform("base", lambda x: x["label"])
     labels = F.array_sort(F.array_union(base, F.transform("detections", lambda x: x["label"])))
     cover = F.aggregate(F.array_distinct(F.transform("detections", lambda x: F.struct(x["from"], x["upto"]))), F.lit(0), lambda a, x: a + x["upto"] - x["from"])
+    made = ("n_words", "base", "detections", "base_labels", "labels", "score")
     return step.select(
-        *docs.columns, F.size("_words").cast("long").alias("n_words"), "base", "detections", F.array_sort(F.array_distinct(base)).alias("base_labels"),
+        *[c for c in docs.columns if c not in made], F.size("_words").cast("long").alias("n_words"), "base", "detections", F.array_sort(F.array_distinct(base)).alias("base_labels"),
         labels.alias("labels"), F.least(F.lit(1.0), cover / F.greatest(F.length("_norm"), F.lit(1))).alias("score"),
     )

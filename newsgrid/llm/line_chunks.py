@@ -4,7 +4,8 @@ A rolling hash over the hashes of the last lines closes a chunk, so an inserted
 boundaries beside it; a line of ``long_words`` words is a chunk of its own. Of equal chunks with at
 least two lines (or that many words) the one in the first row stays and the others go, once their
 text has been compared. Null text stays null; a row whose text had words and keeps none goes. Rows
-with the same id and text are one row here: neither is a copy of the other. Extra columns pass.
+with the same id and text are one row here: neither is a copy of the other. Extra columns
+pass; names with a leading underscore are reserved.
 """
 
 from __future__ import annotations

@@ -103,9 +103,10 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, power: float =
     match = (F.col("queue") == F.col("_source")) & inside & ((F.col("block") - F.col("from_block")) % F.col("per_cycle") == F.col("j"))
     cycle = F.floor((F.col("block") - F.col("from_block")) / F.col("per_cycle"))
     out = placed.join(slots, match).withColumn("slot", F.col("first_slot") + cycle * F.col("cycle_slots") + F.col("in_cycle"))
-    return out.select(*docs.columns, "queue", "block", "slot", "in_block")
+    return out.select(*[c for c in docs.columns if c not in ("queue", "block", "slot", "in_block")], "queue", "block", "slot", "in_block")
 
 
 def mixed(docs: DataFrame, **settings) -> DataFrame:
     """The rows of ``docs`` in mixed order, one range of it per partition."""
-    return mix(docs, **settings).orderBy("slot", "in_block").select(*docs.columns)
+    whole = docs.select("doc_id", "source", "text", F.struct("*").alias("_row"))
+    return mix(whole, **settings).orderBy("slot", "in_block").select("_row.*")
