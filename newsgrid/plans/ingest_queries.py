@@ -137,7 +137,7 @@ def price_pages(spark, sf):
         F.date_format(day(3), "yyyy-MM-dd"),
         F.lit("'}]</script></html>"),
     )
-    pages = views.spread(table(spark, sf, "orders")).select(F.col("o_orderkey").alias("page_id"), html.alias("html"))
+    pages = table(spark, sf, "orders").select(F.col("o_orderkey").alias("page_id"), html.alias("html"))
     return cut_lineage(pages)  # the landed pages
 
 

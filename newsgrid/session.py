@@ -24,15 +24,14 @@ def local_session(cores: int | str = "*", app: str = "newsgrid") -> SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; only an unset local session gets a new temporary one."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    """The cluster's shared checkpoint folder; only a local session without one gets a new temporary one."""
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not named:
-        current = spark.sparkContext.getCheckpointDir()
-        named = current or tempfile.mkdtemp(prefix="newsgrid-")
-        if spark.sparkContext.master.startswith("local"):
-            spark.conf.set("spark.checkpoint.dir", named)
-        elif not current:
+        if context.master.partition("[")[0] != "local":
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="newsgrid-"))
+        named = context.getCheckpointDir()
     return named
 
 
