@@ -164,7 +164,7 @@ def find_pii(docs: DataFrame, text: str = "text", train_rows: int = 2_000) -> Da
     The weights come from at most ``train_rows`` rows, those with the smallest hash of text and id.
     """
     sample = docs.where(F.col(text).rlike("[0-9@]")).select(text, F.xxhash64("doc_id").alias("h")).orderBy("h", F.length(text)).limit(train_rows)
-    weights = learn([r[0][:100_000] for r in sample.toLocalIterator()])
+    weights = learn([r[0] for r in sample.toLocalIterator()])
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         base_out, all_out = [], []
