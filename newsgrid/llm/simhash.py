@@ -3,7 +3,7 @@
 Fingerprints that agree on half of six bit groups meet in a bucket (any two within 3 bits do so in
 one of the 20 choices). A bucket is compared bit-sliced: one word array per bit position, distances
 to one fingerprint kept in carry-save counters, whole blocks left once all lanes are over the radius.
-Each bucket gives a spanning set of its links, and components come from star contraction.
+Each bucket gives stars that join its groups, and components come from star contraction.
 
 Null text has no words and the fingerprint zero, as empty text has; rows without id get a fingerprint
 and no component. Rows that share an id are one node per fingerprint. Other columns are ignored.
@@ -76,92 +76,105 @@ class Planes:
         return np.flatnonzero(np.unpackbits((~over).view(np.uint8), bitorder="little")[: self.n])
 
 
-def spanning_links(codes: np.ndarray, radius: int) -> list[tuple[int, int]]:
-    """Links (positions) that join whatever is reachable within ``radius`` steps in one bucket."""
-    todo, links = np.ones(len(codes), bool), []
+def linked_groups(codes: np.ndarray, radius: int) -> list[list[int]]:
+    """Positions that steps of at most ``radius`` bits join within one bucket, groups of two or more."""
+    todo, groups = np.ones(len(codes), bool), []
     blocks = [(at, Planes(codes[at : at + LANES])) for at in range(0, len(codes), LANES)]
     for root in range(len(codes)):
         if not todo[root]:
             continue
         todo[root] = False
-        front = [root]
+        group = front = [root]
         while front:
-            i = front.pop()
-            for at, planes in blocks:
-                near = planes.within(int(codes[i]), radius) + at
-                near = near[todo[near]]
-                todo[near] = False
-                links += [(i, int(j)) for j in near]
-                front += near.tolist()
-    return links
-
-
-def fingerprint_links(prints: DataFrame, radius: int = 3) -> DataFrame:
-    """(a, b) fingerprints, distinct on input, enough links to join all that are within ``radius`` bits."""
+            found = []
+            for i in front:
+                for at, planes in blocks:
+                    near = planes.within(int(codes[i]), radius) + at
+                    near = near[todo[near]]
+                    todo[near] = False
+                    found += near.tolist()
+            group, front = group + found, found
+        if len(group) > 1:
+            groups.append(group)
+    return groups
+
+
+def fingerprint_links(classes: DataFrame, radius: int = 3) -> DataFrame:
+    """(a, b) heads, a > b, enough to join all classes (fp, head) whose ``fp`` are within ``radius`` bits.
+
+    Each group found in a bucket is a star around its smallest head, so that groups met in one bucket only,
+    or alike in all, need no further contraction.
+    """
     keys = F.array(*[F.struct(F.lit(i).alias("t"), F.col("fp").bitwiseAND(F.lit(m - (1 << 64) if m >> 63 else m)).alias("key")) for i, m in enumerate(MASKS)])
-    told = prints.select("fp", F.explode(keys).alias("k")).select("k.t", "k.key", "fp").repartition("t", "key").sortWithinPartitions("t", "key")
+    told = classes.select("fp", "head", F.explode(keys).alias("k")).select("k.t", "k.key", "fp", "head").repartition("t", "key").sortWithinPartitions("t", "key")
 
-    def links_of(t: np.ndarray, key: np.ndarray, fp: np.ndarray) -> list[tuple[int, int]]:
+    def links_of(t: np.ndarray, key: np.ndarray, fp: np.ndarray, head: np.ndarray) -> pd.DataFrame:
         cut = np.flatnonzero((t[1:] != t[:-1]) | (key[1:] != key[:-1])) + 1
         starts, ends = np.append(0, cut), np.append(cut, len(t))
         out = []
         for a, b in zip(starts[ends - starts > 1], ends[ends - starts > 1], strict=True):
             codes = fp[a:b].view(np.uint64)
             if b - a == 2:  # the usual bucket
-                out += [(int(fp[a]), int(fp[a + 1]))] if int(codes[0] ^ codes[1]).bit_count() <= radius else []
+                groups = [[0, 1]] if int(codes[0] ^ codes[1]).bit_count() <= radius else []
             else:
-                out += [(int(fp[a + i]), int(fp[a + j])) for i, j in spanning_links(codes, radius)]
-        return out
+                groups = linked_groups(codes, radius)
+            for group in groups:
+                heads = head[a:b][group]
+                out += [(int(h), int(heads.min())) for h in heads if h != heads.min()]
+        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[np.ndarray] | None = None
         for frame in frames:
-            cols = [frame[c].to_numpy() for c in ("t", "key", "fp")]
+            cols = [frame[c].to_numpy() for c in ("t", "key", "fp", "head")]
             held = cols if held is None else [np.concatenate(x) for x in zip(held, cols, strict=True)]
-            t, key, _ = held
+            t, key, *_ = held
             same = np.flatnonzero((t != t[-1]) | (key != key[-1])) if len(t) else []
             upto = int(same[-1]) + 1 if len(same) else 0  # the last bucket may go on in the next batch
-            yield pd.DataFrame(links_of(*[x[:upto] for x in held]), columns=["a", "b"], dtype="int64")
+            yield links_of(*[x[:upto] for x in held])
             held = [x[upto:] for x in held]
         if held is not None and len(held[0]):
-            yield pd.DataFrame(links_of(*held), columns=["a", "b"], dtype="int64")
+            yield links_of(*held)
 
     return told.mapInPandas(run, "a long, b long").distinct()
 
 
+def unsettled(edges: DataFrame) -> bool:
+    """Whether some node has two links downwards, or one downwards and one upwards; no star forest then."""
+    ends = edges.select(F.explode(F.array(F.struct(F.col("a").alias("node"), F.lit(1).alias("down")), F.struct(F.col("b").alias("node"), F.lit(0).alias("down")))).alias("e")).select("e.*")
+    seen = ends.groupBy("node").agg(F.sum("down").alias("downs"), F.min("down").alias("least"))
+    return not seen.where("downs > 1 or (downs = 1 and least = 0)").isEmpty()
+
+
 def components(edges: DataFrame) -> DataFrame:
-    """(node, component) for every node of ``edges`` (a, b): the smallest reachable node.
+    """(node, component) for every node ``a`` of ``edges`` (a > b, distinct) but the smallest of each component.
 
-    Large-star and small-star steps by turns until the edges stop changing; each step's table is
-    written to the shared folder, and only a checksum reaches the driver.
+    Large-star and small-star steps by turns until the edges are a star forest; each step's table is
+    written to the shared folder, and only a yes or no reaches the driver.
     """
-    def star(pairs: DataFrame, large: bool) -> DataFrame:
-        both = pairs.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(pairs.select(F.col("b").alias("u"), F.col("a").alias("v")))
-        near = both if large else both.where("v < u")
-        least = near.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        moved = near.join(least, "u")
-        moved = moved.where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b")) if large else moved.select(F.col("v").alias("a"), F.col("m").alias("b")).unionByName(least.select(F.col("u").alias("a"), F.col("m").alias("b")))
-        return moved.where("a <> b").distinct()
-
-    now = cut_lineage(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    told = None
-    while True:
-        now = cut_lineage(star(cut_lineage(star(now, True)), False))
-        row = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.bit_xor(F.xxhash64("b", "a"))).first()
-        if tuple(row) == told:
-            break
-        told = tuple(row)
+
+    def large(pairs: DataFrame) -> DataFrame:
+        both = pairs.select(F.explode(F.array(F.struct(F.col("a").alias("u"), F.col("b").alias("v")), F.struct(F.col("b").alias("u"), F.col("a").alias("v")))).alias("e")).select("e.*")
+        least = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))
+        return both.where("v > u").join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
+
+    def small(pairs: DataFrame) -> DataFrame:
+        least = pairs.groupBy(F.col("a").alias("u")).agg(F.min("b").alias("m"))
+        moved = pairs.join(least, F.col("a") == F.col("u")).where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        return moved.unionByName(least.select(F.col("u").alias("a"), F.col("m").alias("b"))).distinct()
+
+    now = cut_lineage(edges)
+    while unsettled(now):
+        now = cut_lineage(small(cut_lineage(large(now))))
     return now.select(F.col("a").alias("node"), F.col("b").alias("component"))
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", width: int = 3, radius: int = 3) -> DataFrame:
     """Per row: ``doc_id``, ``fp`` (64 bits as a long) and ``component_id``."""
     told = cut_lineage(fingerprints(docs, text, width))
-    classes = cut_lineage(told.where("doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("head")))
-    links = fingerprint_links(classes.select("fp"), radius)
-    name = lambda c: classes.select(F.col("fp").alias(c), F.col("head").alias(f"{c}_head"))
-    edges = links.join(name("a"), "a").join(name("b"), "b").select(F.col("a_head").alias("a"), F.col("b_head").alias("b"))
-    found = classes.join(components(edges), F.col("head") == F.col("node"), "left").select(F.col("fp"), F.coalesce("component", "head").alias("component_id"))
+    classes = cut_lineage(told.where("doc_id is not null").groupBy("fp").agg(F.min("doc_id").cast("long").alias("head")))
+    links = fingerprint_links(classes, radius)
+    found = classes.join(components(links), F.col("head") == F.col("node"), "left").select(F.col("fp"), F.coalesce("component", "head").alias("component_id"))
     joined = told.join(found, "fp", "left")
     return joined.select("doc_id", "fp", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
 
@@ -169,5 +182,5 @@ def near_duplicates(docs: DataFrame, text: str = "text", width: int = 3, radius:
 def keep_one(docs: DataFrame, **settings) -> DataFrame:
     """The rows of ``docs`` whose id leads its component; rows without id stay. Repeated ids keep one row."""
     heads = near_duplicates(docs, **settings).where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.where("doc_id is not null").dropDuplicates(["doc_id"]).join(heads, "doc_id", "left_semi")
+    kept = docs.where("doc_id is not null").join(heads, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     return kept.unionByName(docs.where("doc_id is null")).select(*docs.columns)
