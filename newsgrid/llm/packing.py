@@ -12,9 +12,10 @@ Null text is empty: one end token. Rows that repeat an id are packed each; other
 from __future__ import annotations
 
 import os
+import re
 import zlib
+from array import array
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,44 +32,80 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = 4096, end_id: int =
         words = Words(tokenizer)
         out = []
         for doc_id, text in zip(frame["doc_id"], frame["text"], strict=True):
-            ids = np.array([*words.ids("" if pd.isna(text) else text), end_id], "<u4")
-            key = None if pd.isna(doc_id) else int(doc_id)
-            out += [(key, i, min(capacity, len(ids) - i), zlib.crc32(ids[i : i + capacity].tobytes()), len(ids)) for i in range(0, len(ids), capacity)]
+            ids = words.ids("" if pd.isna(text) else text) + end_id.to_bytes(4, "little")
+            key, n = None if pd.isna(doc_id) else int(doc_id), len(ids) // 4
+            out += [(key, i, min(capacity, n - i), zlib.crc32(ids[4 * i : 4 * (i + capacity)]), n) for i in range(0, n, capacity)]
         return pd.DataFrame(out, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens"]).astype({"doc_id": "Int64"})
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(column_map(cut), PIECE)
 
 
 _LOADED: dict = {}
+# Letters that neither normalization nor neighbours change except for their case, then signs without an apostrophe.
+PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+
+
+def byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in a byte-level vocabulary: itself if printable, else the next free one."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in printable]
+    return {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(others)}
 
 
 class Words:
     """A tokenizer that drops white space, so the ids of a text are those of its parts between spaces and line feeds.
 
-    Ids of parts are kept for reuse; the store empties when it holds ``most`` of them.
+    A plain word and the signs after it go to the tokenizer's model as they stand after lower-casing; every other
+    part takes the whole way. Ids are kept as bytes for reuse in two tables of at most ``most`` parts: when the
+    younger is full it becomes the older, and parts still met move up.
     """
 
-    def __init__(self, path: str, most: int = 500_000, longest: int = 64):
+    def __init__(self, path: str, most: int = 400_000, longest: int = 64):
         if path not in _LOADED:
             from tokenizers import Tokenizer
 
             os.environ["TOKENIZERS_PARALLELISM"] = "false"
-            _LOADED[path] = Tokenizer.from_file(path), {}
-        self.tokenizer, self.known = _LOADED[path]
-        self.most, self.longest = most, longest
-
-    def ids(self, text: str) -> list[int]:
-        known, parts = self.known, text.replace("\n", " ").split(" ")
-        if new := list({p for p in parts if p not in known}):
-            if len(known) + len(new) > self.most:
-                known.clear()
-                new = list({*parts})
-            made = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-            told = {p: x.ids for p, x in zip(new, made, strict=True)}
-            out = [i for p in parts for i in (known[p] if p in known else told[p])]
-            known.update((p, i) for p, i in told.items() if len(p) <= self.longest)
-            return out
-        return [i for p in parts for i in known[p]]
+            _LOADED[path] = Tokenizer.from_file(path), {}, {}
+        self.path, self.most, self.longest = path, most, longest
+        self.tokenizer, self.young, self.old = _LOADED[path]
+        self.model, self.letters = self.tokenizer.model, {b: x for b, x in byte_letters().items() if x != chr(b)}
+
+    def modelled(self, run: str) -> bytes:
+        """Ids of one run of letters or of signs, kept if it is short."""
+        ids = self.young.get(run) or self.old.get(run)
+        if ids is None:
+            mapped = run if run.isascii() else run.encode().decode("latin-1").translate(self.letters)
+            ids = array("I", [t.id for t in self.model.tokenize(mapped)]).tobytes()
+            if len(run) <= self.longest:
+                self.young[run] = ids
+        return ids
+
+    def learn(self, parts: list[str]) -> dict[str, bytes]:
+        """The ids of parts that the younger table lacks; short ones enter it."""
+        told, rest, plain, old = {}, [], PLAIN.fullmatch, self.old
+        for part in parts:
+            if part in old:
+                told[part] = old[part]
+            elif found := plain(part):
+                core, tail = found.groups()
+                told[part] = self.modelled(core.lower()) + (self.modelled(tail) if tail else b"")
+            else:
+                rest.append(part)
+        for part, made in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False), strict=True):
+            told[part] = array("I", made.ids).tobytes()
+        self.young.update((p, i) for p, i in told.items() if len(p) <= self.longest)
+        return told
+
+    def ids(self, text: str) -> bytes:
+        """Little-endian unsigned 32-bit ids."""
+        parts = text.replace("\n", " ").split(" ")
+        known = self.young
+        told = self.learn([p for p in {*parts} if p not in known])
+        out = b"".join([known[p] if p in known else told[p] for p in parts] if any(len(p) > self.longest for p in told) else map(known.__getitem__, parts))
+        if len(known) > self.most:
+            self.young, self.old = {}, known
+            _LOADED[self.path] = self.tokenizer, self.young, self.old
+        return out
 
 
 def best_multiset(counts: dict[int, int], capacity: int) -> dict[int, int]:
