@@ -1,7 +1,8 @@
 """Line dedup by content-defined chunks of lines, in DataFrame functions only.
 
-A rolling hash over the hashes of the last lines closes a chunk, so an inserted line moves only the
-boundaries beside it; a line of ``long_words`` words is a chunk of its own. Of equal chunks with at
+A chunk closes where the rolling hash over the last two lines is smaller than at the lines beside it,
+so every chunk within a passage has two lines or more and an inserted line moves only the boundaries
+beside it; a line of ``long_words`` words is a chunk of its own. Of equal chunks with at
 least two lines (or that many words) the one in the first row stays and the others go, once their
 text has been compared. Null text stays null; a row whose text had words and keeps none goes. Rows
 with the same id and text are one row here: neither is a copy of the other. Extra columns
@@ -16,57 +17,66 @@ from pyspark.sql import functions as F
 from newsgrid.functions.frames import staged
 from newsgrid.llm.common import cut_lineage, salted
 
+SALTS = 32  # tasks in which the places of one chunk, hashes only, meet its count
 
-def line_ends(divisor: int) -> Column:
-    """Positions of the last line of each chunk, from line hashes ``_h`` and wide-line marks ``_w``."""
-    at = F.sequence(F.lit(1), F.size("_h"))
+
+def line_ends() -> Column:
+    """Positions of the last line of each chunk, from rolled hashes ``_r`` and wide-line marks ``_w``."""
+    at = F.sequence(F.lit(1), F.size("_r"))
 
     def closes(i: Column) -> Column:
-        rolled = F.xxhash64(F.element_at("_h", i), F.try_element_at("_h", F.greatest(i - 1, F.lit(1))))
-        return (i == F.size("_h")) | (F.pmod(rolled, F.lit(divisor)) == 0) | F.element_at("_w", i) | F.coalesce(F.try_element_at("_w", i + 1), F.lit(False))
+        here, before, after = F.element_at("_r", i), F.try_element_at("_r", F.greatest(i - 1, F.lit(1))), F.try_element_at("_r", i + 1)
+        least = (here < before) & (here <= after)
+        return (i == F.size("_r")) | F.coalesce(least, F.lit(False)) | F.element_at("_w", i) | F.coalesce(F.try_element_at("_w", i + 1), F.lit(False))
 
     return F.filter(at, closes)
 
 
-def chunked(rows: DataFrame, divisor: int, long_words: int) -> DataFrame:
+def chunked(rows: DataFrame, long_words: int) -> DataFrame:
     """Adds ``_chunks``: (first line, lines, text) of the chunks that may be removed."""
     marked = staged(rows, {"_lines": F.split(F.coalesce("text", F.lit("")), "\n")})
     hashes = F.transform("_lines", lambda x: F.xxhash64(F.trim(x)))
     wide = F.transform("_lines", lambda x: F.size(F.split(F.trim(x), " +")) >= long_words)
     marked = staged(marked, {"_h": hashes, "_w": wide})
-    marked = staged(marked, {"_ends": line_ends(divisor)})
+    rolled = F.transform("_h", lambda h, i: F.xxhash64(h, F.try_element_at("_h", F.greatest(i, F.lit(1)))))
+    marked = staged(marked, {"_r": rolled})
+    marked = staged(marked, {"_ends": line_ends()})
     first = lambda k: F.when(k == 0, F.lit(1)).otherwise(F.element_at("_ends", F.greatest(k, F.lit(1))) + 1)
     made = F.transform("_ends", lambda e, k: F.struct(first(k).alias("first"), (e - first(k) + 1).alias("n")))
     lines = lambda c: F.slice("_lines", c["first"], c["n"])
     full = F.filter(made, lambda c: (F.size(F.filter(lines(c), lambda x: F.trim(x) != "")) >= 2) | F.exists(F.slice("_w", c["first"], c["n"]), lambda w: w))
     told = F.transform(full, lambda c: F.struct(c["first"].alias("first"), c["n"].alias("n"), F.array_join(lines(c), "\n").alias("chunk")))
-    return staged(marked, {"_chunks": told}).drop("_h", "_w", "_ends")
+    return staged(marked, {"_chunks": told}).drop("_h", "_r", "_w", "_ends")
+
 
+def repeated_chunks(rows: DataFrame, long_words: int = 50, a_salt: int = 256) -> DataFrame:
+    """(_key, first, n) of every chunk that repeats an earlier one, byte for byte.
 
-def repeated_chunks(rows: DataFrame, divisor: int = 2, long_words: int = 50, salts: int = 32) -> DataFrame:
-    """(_key, first, n) of every chunk that repeats an earlier one, byte for byte."""
-    pieces = chunked(rows.select("doc_id", "_key", "text"), divisor, long_words).select("doc_id", "_key", F.explode("_chunks").alias("c"))
+    A chunk's places meet its first text in one task per ``a_salt`` of them.
+    """
+    pieces = chunked(rows.select("doc_id", "_key", "text"), long_words).select("doc_id", "_key", F.explode("_chunks").alias("c"))
     told = pieces.select("doc_id", "_key", "c.first", "c.n", F.xxhash64("c.chunk").alias("hash"), F.length("c.chunk").alias("size"))
     told = cut_lineage(told.distinct())
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_key", "first")
     heads = told.groupBy("hash", "size").agg(F.min(order).alias("head"), F.count(F.lit(1)).alias("n_places")).where("n_places > 1")
-    salt = F.pmod(F.xxhash64("_key"), F.lit(salts)).cast("int")
-    places = told.withColumn("_salt", salt).join(salted(heads.drop("n_places"), salts), ["hash", "size", "_salt"])
+    heads = heads.withColumn("salts", F.ceil(F.col("n_places") / a_salt).cast("int")).drop("n_places")
+    spread = told.withColumn("_salt", F.pmod(F.xxhash64("_key"), F.lit(SALTS)).cast("int"))
+    places = spread.join(salted(heads, SALTS), ["hash", "size", "_salt"]).withColumn("salt", F.pmod(F.xxhash64("_key"), "salts").cast("int"))
     places = places.withColumn("is_head", (F.col("_key") == F.col("head._key")) & (F.col("first") == F.col("head.first")))
-    held = places.groupBy("_key").agg(F.collect_list(F.struct("first", "n", "hash", "size", "is_head")).alias("places"))
+    held = places.groupBy("_key").agg(F.collect_list(F.struct("first", "n", "hash", "size", "is_head", "salt", "salts")).alias("places"))
     line = F.split(F.coalesce("text", F.lit("")), "\n")
     texts = rows.select("_key", "text").dropDuplicates(["_key"]).join(held, "_key").select("_key", line.alias("_lines"), F.explode("places").alias("p"))
     texts = cut_lineage(texts.select("_key", "p.*", F.array_join(F.slice("_lines", F.col("p.first"), F.col("p.n")), "\n").alias("chunk")))
-    models = salted(texts.where("is_head").select("hash", "size", F.col("chunk").alias("model")), salts)
-    others = texts.where("not is_head").withColumn("_salt", salt).join(models, ["hash", "size", "_salt"])
+    models = texts.where("is_head").select("hash", "size", F.col("chunk").alias("model"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
+    others = texts.where("not is_head").join(models, ["hash", "size", "salt"])
     return others.where(F.col("chunk") == F.col("model")).select("_key", "first", "n")
 
 
-def line_chunk_dedup(docs: DataFrame, divisor: int = 2, long_words: int = 50) -> DataFrame:
+def line_chunk_dedup(docs: DataFrame, long_words: int = 50) -> DataFrame:
     """``docs`` without repeated chunks, all columns kept; ``n_chars`` follows the text where it exists."""
     names = docs.columns
     rows = docs.withColumn("_key", F.concat_ws("-", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.hex(F.xxhash64("text"))))
-    gone = repeated_chunks(rows, divisor, long_words).groupBy("_key").agg(F.collect_list(F.sequence(F.col("first"), F.col("first") + F.col("n") - 1)).alias("_gone"))
+    gone = repeated_chunks(rows, long_words).groupBy("_key").agg(F.collect_list(F.sequence(F.col("first"), F.col("first") + F.col("n") - 1)).alias("_gone"))
     joined = rows.join(gone.withColumn("_gone", F.flatten("_gone")), "_key", "left")
     lines = F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains("_gone", i + 1))
     made = joined.withColumn("_kept", F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(lines, "\n")))
