@@ -7,7 +7,8 @@ zero, so one period's schedule, made on the driver from at most ``period`` slots
 of blocks. When a source runs out, the rest go on by their renewed weights (a new phase).
 
 Every row gets a place. A null source is a source of its own; sources beyond the ``max_sources``
-largest share one queue. Repeated rows are rows; an empty table gives no rows; other columns pass.
+largest share one queue. Repeated rows are rows; an empty table gives no rows; other columns pass,
+those named like a result are replaced, names with a leading underscore are reserved.
 """
 
 from __future__ import annotations
@@ -25,13 +26,15 @@ REST = "\x00rest"
 
 
 def whole_counts(weights: dict[str, float], period: int) -> dict[str, int]:
-    """Slots of each source in one period: at least one, largest remainders first."""
+    """Slots of each source in one period: its exact share rounded down or up (largest remainders), at least one."""
     total = sum(weights.values())
-    spare = period - len(weights)
-    exact = {s: w / total * spare for s, w in weights.items()}
-    counts = {s: 1 + math.floor(x) for s, x in exact.items()}
-    for s in sorted(exact, key=lambda s: (math.floor(exact[s]) - exact[s], s))[: period - sum(counts.values())]:
-        counts[s] += 1
+    exact = {s: w / total * period for s, w in weights.items()}
+    counts = {s: max(1, math.floor(x + 1e-9)) for s, x in exact.items()}
+    while (spare := period - sum(counts.values())) > 0:
+        for s in sorted(exact, key=lambda s: (counts[s] - exact[s], s))[:spare]:
+            counts[s] += 1
+    while sum(counts.values()) > period:  # made up for sources raised to one slot
+        counts[max((s for s in counts if counts[s] > 1), key=lambda s: (counts[s] - exact[s], counts[s], s))] -= 1
     return counts
 
 
@@ -54,7 +57,7 @@ def one_period(counts: dict[str, int]) -> list[str]:
 
 
 def phases(blocks: dict[str, int], weights: dict[str, float], period: int) -> pd.DataFrame:
-    """Rows (source, from_block, upto_block, per_cycle, j, first_slot, cycle_slots, slot): where blocks go."""
+    """Rows (source, _from, _upto, _per_cycle, _j, _first_slot, _cycle_slots, slot): where blocks go."""
     left, done, start, rows = dict(blocks), dict.fromkeys(blocks, 0), 0, []
     while left := {s: n for s, n in left.items() if n}:
         counts = whole_counts({s: weights[s] for s in left}, max(period, 2 * len(left)))
@@ -76,7 +79,7 @@ def phases(blocks: dict[str, int], weights: dict[str, float], period: int) -> pd
             done[s] += cycles * c
             left[s] -= cycles * c
         start += cycles * len(order)
-    return pd.DataFrame(rows, columns=["_source", "from_block", "upto_block", "per_cycle", "j", "first_slot", "cycle_slots", "in_cycle"])
+    return pd.DataFrame(rows, columns=["_source", "_from", "_upto", "_per_cycle", "_j", "_first_slot", "_cycle_slots", "_in_cycle"])
 
 
 def mix(docs: DataFrame, weights: dict[str, float] | None = None, power: float = 0.5, block: int = 16, period: int = 1024, max_sources: int = 64) -> DataFrame:
@@ -94,15 +97,19 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, power: float =
         rows[REST] = total - sum(rows.values())
     told = {s: (weights or {}).get(s, n**power) for s, n in rows.items()}
     plan = phases({s: -(-n // block) for s, n in rows.items()}, told, period)
-    types = "_source string, from_block long, upto_block long, per_cycle long, j long, first_slot long, cycle_slots long, in_cycle long"
-    slots = F.broadcast(spark.createDataFrame(plan, types))  # at most phases x period rows, both bounded by parameters
+    types = "_source string, _from long, _upto long, _per_cycle long, _j long, _first_slot long, _cycle_slots long, _in_cycle long"
+    slots = spark.createDataFrame(plan, types)  # at most phases x period rows, both bounded by parameters
+    spans = F.broadcast(slots.select("_source", "_from", "_upto", "_per_cycle", "_first_slot", "_cycle_slots").distinct())
+    turns = F.broadcast(slots.select(F.col("_source").alias("_turn_source"), F.col("_from").alias("_turn_from"), "_j", "_in_cycle"))
     queued = docs.withColumn("queue", F.when(named.isin(known), named).otherwise(F.lit(REST)) if known else named)
     order = ["doc_id", F.xxhash64("text")]
     placed = ranked_within(queued, "queue", order, "_rank").withColumn("block", F.floor(F.col("_rank") / block)).withColumn("in_block", (F.col("_rank") % block).cast("int"))
-    inside = (F.col("block") >= F.col("from_block")) & (F.col("block") < F.col("upto_block"))
-    match = (F.col("queue") == F.col("_source")) & inside & ((F.col("block") - F.col("from_block")) % F.col("per_cycle") == F.col("j"))
-    cycle = F.floor((F.col("block") - F.col("from_block")) / F.col("per_cycle"))
-    out = placed.join(slots, match).withColumn("slot", F.col("first_slot") + cycle * F.col("cycle_slots") + F.col("in_cycle"))
+    inside = (F.col("block") >= F.col("_from")) & (F.col("block") < F.col("_upto"))
+    placed = placed.join(spans, (F.col("queue") == F.col("_source")) & inside)
+    turn = (F.col("block") - F.col("_from")) % F.col("_per_cycle")
+    cycle = F.floor((F.col("block") - F.col("_from")) / F.col("_per_cycle"))
+    out = placed.join(turns, (F.col("queue") == F.col("_turn_source")) & (F.col("_from") == F.col("_turn_from")) & (F.col("_j") == turn))
+    out = out.withColumn("slot", F.col("_first_slot") + cycle * F.col("_cycle_slots") + F.col("_in_cycle"))
     return out.select(*[c for c in docs.columns if c not in ("queue", "block", "slot", "in_block")], "queue", "block", "slot", "in_block")
 
 
