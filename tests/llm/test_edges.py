@@ -1,5 +1,6 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and clashing column names."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -95,3 +96,31 @@ def test_vectors_without_a_direction(spark):
     got = hashing_search.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect()
     assert [(r.query_id, r["rank"], r.vec_id) for r in got] == [(0, 1, 4)]
     assert hashing_search.nearest(spark.createDataFrame([], "vec_id long, embedding array<float>")).collect() == []
+
+
+def test_components_of_a_long_chain(spark):
+    order = np.random.default_rng(3).permutation(60).tolist()
+    pairs = [(max(a, b), min(a, b)) for a, b in zip(order, order[1:], strict=False)] + [(101, 100)]
+    got = {r.node: r.component for r in simhash.components(spark.createDataFrame(pairs, "a long, b long")).collect()}
+    assert got == dict.fromkeys(range(1, 60), 0) | {101: 100}
+
+
+def test_passage_of_short_lines_goes(spark):
+    lines = lambda name, n: [f"{name} line {i} says something plain" for i in range(n)]
+    shared = lines("shared", 12)
+    rows = [(i, "\n".join([*lines(f"own{i}", 3 + i), *shared, *lines(f"end{i}", 4)])) for i in range(3)]
+    got = {r.doc_id: r.text.split("\n") for r in line_chunks.line_chunk_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert "\n".join(got[0]) == rows[0][1]
+    for i in (1, 2):
+        assert [x for x in got[i] if x not in shared] == [*lines(f"own{i}", 3 + i), *lines(f"end{i}", 4)]
+        assert sum(x in shared for x in got[i]) <= 6
+
+
+def test_every_block_within_one_of_its_share(spark):
+    rows = [(i, "abbcccc"[i % 7], f"text {i}") for i in range(700)]
+    made = pfair.mix(spark.createDataFrame(rows, "doc_id long, source string, text string"), {"a": 1, "b": 2, "c": 4}, block=2, period=70)
+    slots = sorted({(r.slot, r.queue) for r in made.collect()})
+    assert len(slots) == 350
+    for t in range(350):
+        for s, w in (("a", 1 / 7), ("b", 2 / 7), ("c", 4 / 7)):
+            assert abs(sum(q == s for _, q in slots[: t + 1]) - w * (t + 1)) < 1
