@@ -20,6 +20,11 @@ def texted(spark, sf):
     return with_text(scoring_input(spark, sf), dims.SAMPLE_CONFIG)
 
 
+def whole_texted(spark, sf):
+    """Stories tagged by their whole text; the cut of a snippet belongs to the scoring rules only."""
+    return with_text(views.stories(spark, sf).withColumn("snippets", F.array(ws_clean("summary"))), dims.SAMPLE_CONFIG)
+
+
 def enriched(spark, sf):
     return enrich(scoring_input(spark, sf), dims.SAMPLE_CONFIG, views.AS_OF)
 

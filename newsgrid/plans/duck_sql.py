@@ -31,6 +31,10 @@ def d_compact(pairs) -> str:
     return "[x for x in [" + ", ".join(f"CASE WHEN {cond} THEN {q(label)} END" for label, cond in pairs) + "] if x IS NOT NULL]"
 
 
+def d_word(c: str, at: int) -> str:
+    return f"CAST('0x' || substr(sha1({c}), {at}, 15) AS BIGINT)"
+
+
 def d_rank(name: str, default) -> str:
     return "CASE " + name + " " + " ".join(f"WHEN {q(k)} THEN {v}" for k, v in dims.SOURCE_RANK.items()) + f" ELSE {default} END"
 
@@ -59,6 +63,8 @@ TEXTED = f"""{WITH_STORIES}, t0 AS (SELECT *, array_to_string([x for x in list_c
 t1 AS (SELECT *, lower(scoring_text) AS low FROM t0),
 texted AS (SELECT *, {d_priority('low')} AS names, {d_topics('low')} AS tags, {d_any('low', dims.SEVERE_TERMS)} AS severe_event,
    {d_any('low', dims.DIRECT_TERMS)} AS direct_lessor_event, {d_any('low', dims.MATERIAL_TERMS)} AS material_event, {D_MODELS} AS models FROM t1)"""
+_CUT = f"substr({d_clean('summary')}, 1, 650)"
+WHOLE_TEXTED = TEXTED.replace(_CUT, d_clean("summary"))
 
 RULED = f"""{TEXTED}, r0 AS (SELECT *, least(greatest(importance_score, 35), 90) AS m0, {_case(dims.CATEGORY_BASE, 'category', 72)} AS l0 FROM texted),
 ruled AS (SELECT *, CAST(CASE WHEN len(names) > 0 THEN greatest(78, CASE WHEN severe_event THEN greatest(88, m0) ELSE m0 END) WHEN severe_event THEN greatest(88, m0) ELSE m0 END AS INT) AS market_materiality,

@@ -302,16 +302,20 @@ CUTOFF = "2024-03-20"
 
 
 def crawl(spark, sf):
-    """Documents as a paged crawl: a hundred per page, addresses that come back, dates that fall."""
-    page = F.floor(F.col("doc_id") / 100)
+    """Documents as a paged crawl: a hundred per page, addresses that come back, dates that fall.
+
+    Every 4,800 documents are a section of their own, so sources grow with the table and every page is read.
+    """
+    page = F.floor(F.pmod("doc_id", F.lit(4800)) / 100)
+    section = F.floor(F.col("doc_id") / 4800).cast("string")
     age = (page * (F.length("source") - 2 + F.col("doc_id") % 2)).cast("int")
     return table(spark, sf, "documents").select(
-        F.col("source").alias("source_id"), page.alias("page"), (F.col("doc_id") % 700).cast("string").alias("url"),
+        F.concat("source", F.lit("/"), section).alias("source_id"), page.alias("page"), (F.col("doc_id") % 700).cast("string").alias("url"),
         F.date_sub(F.lit("2024-04-30").cast("date"), age * 4).alias("published_date"), "doc_id",
     )
 
 
-_D_CRAWL = f"""WITH c AS (SELECT source AS source_id, doc_id // 100 AS page, CAST(doc_id % 700 AS VARCHAR) AS url, DATE '2024-04-30' - CAST((doc_id // 100) * (length(source) - 2 + doc_id % 2) * 4 AS INT) AS published_date, doc_id FROM documents),
+_D_CRAWL = f"""WITH c AS (SELECT source || '/' || (doc_id // 4800) AS source_id, (doc_id % 4800) // 100 AS page, CAST(doc_id % 700 AS VARCHAR) AS url, DATE '2024-04-30' - CAST(((doc_id % 4800) // 100) * (length(source) - 2 + doc_id % 2) * 4 AS INT) AS published_date, doc_id FROM documents),
 p AS (SELECT source_id, page, string_agg(url, ',' ORDER BY url) AS sig, min(published_date) AS oldest FROM c WHERE page <= 48 GROUP BY 1, 2),
 m AS (SELECT *, row_number() OVER (PARTITION BY source_id, sig ORDER BY page) > 1 AS rep FROM p),
 r AS (SELECT *, CASE WHEN rep THEN 'repeated_page' WHEN oldest < DATE '{CUTOFF}' THEN 'cutoff_reached' END AS reason FROM m),

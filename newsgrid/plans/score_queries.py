@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 from newsgrid import dims, views
 from newsgrid.functions.text import alias_match, contains_any, ws_clean
 from newsgrid.operators import classify, lookups, score
-from newsgrid.plans.base import enriched, joined, texted
+from newsgrid.plans.base import enriched, joined, texted, whole_texted
 from newsgrid.plans.duck_sql import (
-    D_QUALITY, D_RECENCY, RULED, SCORED, TEXTED, d_alias, d_compact, d_count, d_distinct_ci, d_rank, q,
+    D_QUALITY, D_RECENCY, RULED, SCORED, WHOLE_TEXTED, d_alias, d_compact, d_count, d_distinct_ci, d_rank, q,
 )
 from newsgrid.plans.registry import query
 from newsgrid.plans.scalar_queries import d_clean
@@ -35,9 +35,9 @@ def _(spark, sf):
     return news_items(spark, sf).select("doc_id", F.array_join(classify.extract_terms("title", "summary"), "|").alias("entities"))
 
 
-@query("model_tag_extract", f"{TEXTED} SELECT id, array_to_string(models, '|') AS models FROM texted")
+@query("model_tag_extract", f"{WHOLE_TEXTED} SELECT id, array_to_string(models, '|') AS models FROM texted")
 def _(spark, sf):
-    return texted(spark, sf).select("id", joined("text_models", "models"))
+    return whole_texted(spark, sf).select("id", joined("text_models", "models"))
 
 
 def _low():
@@ -88,20 +88,20 @@ def _(spark, sf):
     return rows.select("id", classify.provisional_importance("low", "top").alias("importance"))
 
 
-@query("alias_tag_join", f"{TEXTED}, u AS (SELECT id, unnest(names) AS name FROM texted) SELECT id, name FROM u")
+@query("alias_tag_join", f"{WHOLE_TEXTED}, u AS (SELECT id, unnest(names) AS name FROM texted) SELECT id, name FROM u")
 def _(spark, sf):
-    return texted(spark, sf).select("id", F.explode("priority_matches").alias("m")).select("id", F.col("m.name").alias("name"))
+    return whole_texted(spark, sf).select("id", F.explode("priority_matches").alias("m")).select("id", F.col("m.name").alias("name"))
 
 
-@query("topic_tag_join", f"{TEXTED} SELECT id, array_to_string(tags, '|') AS tags FROM texted")
+@query("topic_tag_join", f"{WHOLE_TEXTED} SELECT id, array_to_string(tags, '|') AS tags FROM texted")
 def _(spark, sf):
-    return texted(spark, sf).select("id", F.array_join("rule_tags", "|").alias("tags"))
+    return whole_texted(spark, sf).select("id", F.array_join("rule_tags", "|").alias("tags"))
 
 
-@query("contains_any", f"{TEXTED} SELECT id, severe_event AS severe, direct_lessor_event AS direct, material_event AS material FROM texted")
+@query("contains_any", f"{WHOLE_TEXTED} SELECT id, severe_event AS severe, direct_lessor_event AS direct, material_event AS material FROM texted")
 def _(spark, sf):
     low = F.lower("scoring_text")
-    return texted(spark, sf).select(
+    return whole_texted(spark, sf).select(
         "id",
         contains_any(low, dims.SEVERE_TERMS).alias("severe"),
         contains_any(low, dims.DIRECT_TERMS).alias("direct"),
