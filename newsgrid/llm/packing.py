@@ -6,6 +6,9 @@ capacity, and the counts traced back. The chosen multiset is repeated as often a
 so at most one pattern a length is needed and the driver sees a histogram of ``capacity`` entries.
 Pieces find their sequence by their rank among equal lengths.
 
+With a ``mix_position`` column the order of the rows counts: pieces of equal length go to sequences by
+position, and sequences are numbered by the first position they hold.
+
 Null text is empty: one end token. Rows that repeat an id are packed each; other columns are ignored.
 """
 
@@ -20,24 +23,29 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsgrid.llm.common import column_map, cut_lineage, ranked_within
+from newsgrid.llm.common import column_map, cut_lineage, ranked_by_position, ranked_within
 
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
+POSITION = "mix_position"
+
+
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = 4096, end_id: int = 2) -> DataFrame:
-    """One row per piece of each document's token ids."""
+    """One row per piece of each document's token ids, with the document's ``mix_position`` where there is one."""
+    placed = POSITION in docs.columns
 
     def cut(frame: pd.DataFrame) -> pd.DataFrame:
         words = Words(tokenizer)
         out = []
-        for doc_id, text in zip(frame["doc_id"], frame["text"], strict=True):
+        for doc_id, text, *place in zip(frame["doc_id"], frame["text"], *([frame[POSITION]] if placed else []), strict=True):
             ids = words.ids("" if pd.isna(text) else text) + end_id.to_bytes(4, "little")
             key, n = None if pd.isna(doc_id) else int(doc_id), len(ids) // 4
-            out += [(key, i, min(capacity, n - i), zlib.crc32(ids[4 * i : 4 * (i + capacity)]), n) for i in range(0, n, capacity)]
-        return pd.DataFrame(out, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens"]).astype({"doc_id": "Int64"})
+            out += [(key, i, min(capacity, n - i), zlib.crc32(ids[4 * i : 4 * (i + capacity)]), n, *place) for i in range(0, n, capacity)]
+        return pd.DataFrame(out, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens", *[POSITION] * placed]).astype({"doc_id": "Int64"})
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(column_map(cut), PIECE)
+    read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *[POSITION] * placed)
+    return read.mapInPandas(column_map(cut), PIECE + f", {POSITION} long" * placed)
 
 
 _LOADED: dict = {}
@@ -155,9 +163,17 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = 4096, end_id: int = 2)
     told = cut_lineage(pieces(docs, tokenizer, capacity, end_id))
     counts = {r["length"]: r["count"] for r in told.groupBy("length").count().collect()}  # at most ``capacity`` rows
     plan = docs.sparkSession.createDataFrame(patterns(counts, capacity), "_length long, from_rank long, upto_rank long, copies long, first_sequence long, first_offset long")
-    ranked = ranked_within(told, "length", ["doc_id", "start", "ids_crc32"], "_rank")
+    order = ["doc_id", "start", "ids_crc32"]
+    placed = POSITION in told.columns
+    ranked = ranked_by_position(told, "length", POSITION, ["start"], "_rank") if placed else ranked_within(told, "length", order, "_rank")
     inside = (F.col("length") == F.col("_length")) & (F.col("_rank") >= F.col("from_rank")) & (F.col("_rank") < F.col("upto_rank"))
     at = F.col("_rank") - F.col("from_rank")
     out = ranked.join(F.broadcast(plan), inside)
     out = out.withColumn("sequence_id", (F.col("first_sequence") + F.floor(at / F.col("copies"))).cast("long"))
-    return out.withColumn("offset", (F.col("first_offset") + (at % F.col("copies")) * F.col("length")).cast("long")).select(*told.columns, "sequence_id", "offset")
+    out = out.withColumn("offset", (F.col("first_offset") + (at % F.col("copies")) * F.col("length")).cast("long"))
+    if placed:
+        out = cut_lineage(out.select(*told.columns, "sequence_id", "offset"))
+        firsts = cut_lineage(out.groupBy("sequence_id").agg(F.min(POSITION).alias("_first")).withColumn("_all", F.lit(0)))
+        numbers = ranked_by_position(firsts, "_all", "_first", ["sequence_id"], "_number").select("sequence_id", "_number")
+        out = out.join(numbers, "sequence_id").withColumn("sequence_id", F.col("_number").cast("long"))
+    return out.select(*[c for c in told.columns if c != POSITION], "sequence_id", "offset")

@@ -113,7 +113,8 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, power: float =
     return out.select(*[c for c in docs.columns if c not in ("queue", "block", "slot", "in_block")], "queue", "block", "slot", "in_block")
 
 
-def mixed(docs: DataFrame, **settings) -> DataFrame:
-    """The rows of ``docs`` in mixed order, one range of it per partition."""
-    whole = docs.select("doc_id", "source", "text", F.struct("*").alias("_row"))
-    return mix(whole, **settings).orderBy("slot", "in_block").select("_row.*")
+def mixed(docs: DataFrame, block: int = 16, **settings) -> DataFrame:
+    """The rows of ``docs`` in mixed order, one range of it per partition, with their place in it as ``mix_position``."""
+    whole = docs.drop("mix_position").select("doc_id", "source", "text", F.struct("*").alias("_row"))
+    place = (F.col("slot") * block + F.col("in_block")).cast("long").alias("mix_position")
+    return mix(whole, block=block, **settings).orderBy("slot", "in_block").select("_row.*", place)

@@ -4,8 +4,9 @@ import itertools
 import random
 
 import corpus_pipeline
-from newsgrid.llm import near_copies
+from newsgrid.llm import near_copies, packing, pfair
 from newsgrid.llm.common import table
+from newsgrid.llm.llm_queries import tokenizer_path
 
 STAGE = dict(corpus_pipeline.STAGES)
 
@@ -51,3 +52,24 @@ def test_similar_documents_of_the_table_meet(spark, sf_dir):
     for (a, x), (b, y) in itertools.combinations(((i, set(s)) for i, s in sets.items()), 2):
         if x and len(x & y) >= 0.8 * len(x | y):
             assert got[a] == got[b]
+
+
+def test_packing_follows_the_mixed_order(spark):
+    rows = [(i, "abc"[i % 3], " ".join(["word"] * (20 + i % 5))) for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+
+    def packed(frame):
+        return sorted((r.sequence_id, r.offset, r.doc_id) for r in packing.pack(frame, tokenizer_path(), capacity=200).collect())
+
+    mixed = pfair.mixed(docs, weights={"a": 8, "b": 1, "c": 1}, block=2).localCheckpoint()
+    made = packed(mixed)
+    assert made != packed(docs)
+    assert made != packed(pfair.mixed(docs, weights={"a": 1, "b": 1, "c": 8}, block=2))
+    at = {r.doc_id: r.mix_position for r in mixed.collect()}
+    firsts = {}
+    for s, _, i in made:
+        firsts[s] = min(firsts.get(s, at[i]), at[i])
+    assert [firsts[s] for s in sorted(firsts)] == sorted(firsts.values())
+    source = dict(r[:2] for r in rows)
+    early = [source[i] for s, _, i in made if s < len(firsts) // 4]
+    assert early.count("a") > 2 * early.count("c")
