@@ -2,28 +2,27 @@
 
 Block j (from 1) of a source with weight w is released at floor((j - 1) / w) and due at ceil(j / w);
 the earliest deadline among released blocks goes first, so each source stays within one block of its
-share. Weights become whole counts out of ``period`` slots. At the end of a period every lag is
-zero, so one period's schedule, made on the driver from at most ``period`` slots, serves any number
-of blocks. When a source runs out, the rest go on by their renewed weights (a new phase).
+share. Weights are exact fractions, and the schedule of all blocks is made from a table of sources in
+one task, one block a source in memory. When a source runs out, the rest go on by their renewed
+weights (a new phase).
 
-Every row gets a place. A null source is a source of its own; sources beyond the ``max_sources``
-largest share one queue. Repeated rows are rows; an empty table gives no rows; other columns pass,
+Every row gets a place, every source has a queue, a null source too. Repeated rows are rows; an empty table gives no rows; other columns pass,
 those named like a result are replaced, names with a leading underscore are reserved.
 """
 
 from __future__ import annotations
 
 import heapq
+import itertools
 import math
+from collections.abc import Iterator
+from fractions import Fraction
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsgrid.llm.common import ranked_within
-
-REST = "\x00rest"
-
+from newsgrid.llm.common import cut_lineage, ranked_within
 
 def whole_counts(weights: dict[str, float], period: int) -> dict[str, int]:
     """Slots of each source in one period: its exact share rounded down or up (largest remainders), at least one."""
@@ -56,60 +55,69 @@ def one_period(counts: dict[str, int]) -> list[str]:
     return out
 
 
-def phases(blocks: dict[str, int], weights: dict[str, float], period: int) -> pd.DataFrame:
-    """Rows (source, _from, _upto, _per_cycle, _j, _first_slot, _cycle_slots, slot): where blocks go."""
-    left, done, start, rows = dict(blocks), dict.fromkeys(blocks, 0), 0, []
-    while left := {s: n for s, n in left.items() if n}:
-        counts = whole_counts({s: weights[s] for s in left}, max(period, 2 * len(left)))
-        order = one_period(counts)
-        cycles = min(left[s] // counts[s] for s in left)
-        if not cycles:  # the first source to run out ends the phase inside a period
-            seen = dict.fromkeys(left, 0)
-            for slot, s in enumerate(order):
-                seen[s] += 1
-                if seen[s] == left[s]:
-                    order = order[: slot + 1]
-                    break
-            counts, cycles = {s: n for s, n in seen.items() if n}, 1
-        at = dict.fromkeys(counts, 0)
-        for slot, s in enumerate(order):
-            rows.append((s, done[s], done[s] + cycles * counts[s], counts[s], at[s], start, len(order), slot))
-            at[s] += 1
-        for s, c in counts.items():
-            done[s] += cycles * c
-            left[s] -= cycles * c
-        start += cycles * len(order)
-    return pd.DataFrame(rows, columns=["_source", "_from", "_upto", "_per_cycle", "_j", "_first_slot", "_cycle_slots", "_in_cycle"])
-
-
-def mix(docs: DataFrame, weights: dict[str, float] | None = None, power: float = 0.5, block: int = 16, period: int = 1024, max_sources: int = 64) -> DataFrame:
+def slot_order(blocks: dict[str, int], weights: dict[str, float]) -> Iterator[tuple[str, int]]:
+    """(source, block) of every slot by exact shares; when a source runs out, the others start a new phase.
+
+    Weights are taken as the fractions that they are, so releases and deadlines have no rounding. Only one
+    block a source is held.
+    """
+    left, done, start = {s: n for s, n in blocks.items() if n}, dict.fromkeys(blocks, 0), 0
+    exact = {s: Fraction(weights[s]) for s in left}
+    common = math.lcm(*(f.denominator for f in exact.values()))
+    whole = {s: int(f * common) for s, f in exact.items()}
+    while left:
+        total = sum(whole[s] for s in left)
+        waiting = [(0, -(-total // whole[s]), s, 1) for s in left]
+        heapq.heapify(waiting)
+        ready: list[tuple[int, str, int]] = []
+        for slot in itertools.count():
+            while waiting and waiting[0][0] <= slot:
+                _, due, s, j = heapq.heappop(waiting)
+                heapq.heappush(ready, (due, s, j))
+            _, s, j = heapq.heappop(ready)
+            yield s, done[s]
+            done[s] += 1
+            left[s] -= 1
+            if not left[s]:
+                del left[s]
+                break
+            heapq.heappush(waiting, (j * total // whole[s], -(-(j + 1) * total // whole[s]), s, j + 1))
+
+
+def slots_of(sources: DataFrame, batch: int) -> DataFrame:
+    """(_source, _block, slot) of every block of ``sources`` (_source, n_blocks, weight); one task, as each slot follows from those before."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        told = pd.concat(list(frames) or [pd.DataFrame({"_source": [], "n_blocks": [], "weight": []})])
+        order = slot_order(dict(zip(told["_source"], told["n_blocks"].map(int), strict=True)), dict(zip(told["_source"], told["weight"], strict=True)))
+        at = 0
+        while rows := list(itertools.islice(order, batch)):
+            out = pd.DataFrame(rows, columns=["_source", "_block"])
+            out["slot"] = range(at, at + len(rows))
+            at += len(rows)
+            yield out
+
+    return sources.coalesce(1).mapInPandas(run, "_source string, _block long, slot long")
+
+
+def mix(docs: DataFrame, weights: dict[str, float] | None = None, power: float = 0.5, block: int = 16, period: int = 1024) -> DataFrame:
     """``docs`` with ``queue``, ``block``, ``slot`` and ``in_block``; (slot, in_block) is the mixed order.
 
-    ``weights`` are target weights by source; sources without one get their row count to ``power``.
+    ``weights`` are target weights by source, above 0; sources without one get their row count to ``power``.
+    ``period`` is the number of slots handed on at a time and has no effect on the result.
     """
-    spark = docs.sparkSession
     named = F.coalesce("source", F.lit("\x00null"))
-    sizes = docs.groupBy(named.alias("_source")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "_source").limit(max_sources)
-    rows = {r["_source"]: r["n"] for r in sizes.collect()}
-    total = docs.count()
-    known = list(rows)
-    if total > sum(rows.values()):
-        rows[REST] = total - sum(rows.values())
-    told = {s: (weights or {}).get(s, n**power) for s, n in rows.items()}
-    plan = phases({s: -(-n // block) for s, n in rows.items()}, told, period)
-    types = "_source string, _from long, _upto long, _per_cycle long, _j long, _first_slot long, _cycle_slots long, _in_cycle long"
-    slots = spark.createDataFrame(plan, types)  # at most phases x period rows, both bounded by parameters
-    spans = F.broadcast(slots.select("_source", "_from", "_upto", "_per_cycle", "_first_slot", "_cycle_slots").distinct())
-    turns = F.broadcast(slots.select(F.col("_source").alias("_turn_source"), F.col("_from").alias("_turn_from"), "_j", "_in_cycle"))
-    queued = docs.withColumn("queue", F.when(named.isin(known), named).otherwise(F.lit(REST)) if known else named)
+    queued = docs.withColumn("queue", named)
+    sizes = queued.groupBy(F.col("queue").alias("_source")).agg(F.count(F.lit(1)).alias("n"))
+    own = F.pow(F.col("n"), F.lit(power))
+    if weights:
+        given = docs.sparkSession.createDataFrame([(s, float(w)) for s, w in weights.items()], "_source string, _given double")
+        sizes, own = sizes.join(given, "_source", "left"), F.coalesce("_given", own)
+    sources = cut_lineage(sizes.select("_source", F.ceil(F.col("n") / block).cast("long").alias("n_blocks"), own.cast("double").alias("weight")))
+    slots = cut_lineage(slots_of(sources, period))
     order = ["doc_id", F.xxhash64("text")]
     placed = ranked_within(queued, "queue", order, "_rank").withColumn("block", F.floor(F.col("_rank") / block)).withColumn("in_block", (F.col("_rank") % block).cast("int"))
-    inside = (F.col("block") >= F.col("_from")) & (F.col("block") < F.col("_upto"))
-    placed = placed.join(spans, (F.col("queue") == F.col("_source")) & inside)
-    turn = (F.col("block") - F.col("_from")) % F.col("_per_cycle")
-    cycle = F.floor((F.col("block") - F.col("_from")) / F.col("_per_cycle"))
-    out = placed.join(turns, (F.col("queue") == F.col("_turn_source")) & (F.col("_from") == F.col("_turn_from")) & (F.col("_j") == turn))
-    out = out.withColumn("slot", F.col("_first_slot") + cycle * F.col("_cycle_slots") + F.col("_in_cycle"))
+    out = placed.drop("slot").join(slots, (F.col("queue") == F.col("_source")) & (F.col("block") == F.col("_block")))
     return out.select(*[c for c in docs.columns if c not in ("queue", "block", "slot", "in_block")], "queue", "block", "slot", "in_block")
 
 

@@ -4,7 +4,7 @@ import itertools
 import random
 
 import corpus_pipeline
-from newsgrid.llm import near_copies, packing, pfair
+from newsgrid.llm import line_frequency, near_copies, packing, pfair
 from newsgrid.llm.common import table
 from newsgrid.llm.llm_queries import tokenizer_path
 
@@ -73,3 +73,20 @@ def test_packing_follows_the_mixed_order(spark):
     source = dict(r[:2] for r in rows)
     early = [source[i] for s, _, i in made if s < len(firsts) // 4]
     assert early.count("a") > 2 * early.count("c")
+
+
+def test_shares_that_divide_no_period_hold_at_every_slot(spark):
+    weights = {f"s{k:02d}": (k + 1) ** 0.5 for k in range(90)}
+    total, seen, n = sum(weights.values()), dict.fromkeys(weights, 0), 20_000
+    for t, (s, _) in enumerate(itertools.islice(pfair.slot_order(dict.fromkeys(weights, 10**6), weights), n), 1):
+        seen[s] += 1
+        assert abs(seen[s] - weights[s] / total * t) < 1
+        if t % 500 == 0:
+            assert all(abs(seen[x] - weights[x] / total * t) < 1 for x in seen)
+
+
+def test_every_source_has_its_own_queue_and_weight(spark):
+    rows = [(i, f"s{i % 100:02d}", f"text {i}") for i in range(1000)]
+    made = pfair.mix(spark.createDataFrame(rows, "doc_id long, source string, text string"), {"s99": 60.0, "s98": 30.0}, block=1).collect()
+    assert len({r.slot for r in made}) == 1000 and {r.queue for r in made} == {r.source for r in made}
+    assert sum(r.queue == "s99" for r in made if r.slot < 20) >= 2
