@@ -1,8 +1,8 @@
 """Quality rules: lines that many documents of one host share are removed, depleted documents rejected.
 
 Null or empty text has no words and is rejected; a null host is a host of its own. Rows that share a
-``doc_id`` count as one document per line, and each row gets its own verdict. Lines without a word
-are never counted. Other columns of the input are ignored.
+``doc_id`` count as one document per line, a row without id as a document of its own, and each row gets
+its own verdict. Lines without a word are never counted. Other columns of the input are ignored.
 """
 
 from __future__ import annotations
@@ -55,14 +55,23 @@ COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
 def line_key(line):
-    """Lower case, each run of anything but letters as one space."""
-    return F.xxhash64(F.trim(F.regexp_replace(F.lower(line), r"[^\p{L}]+", " ")))
+    """Lower case, each run of anything but letters as one space; a line without letters as it stands, trimmed."""
+    letters = F.trim(F.regexp_replace(F.lower(line), r"[^\p{L}]+", " "))
+    return F.xxhash64(F.when(letters == "", F.trim(line)).otherwise(letters))
 
 
-def frequent_lines(lined: DataFrame, max_docs: int) -> DataFrame:
-    """(host, hash, n_docs) of lines in more than ``max_docs`` documents of the host."""
-    each = lined.select("doc_id", "host", F.explode(F.array_distinct("hashes")).alias("hash"))
-    return each.groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n_docs")).where(F.col("n_docs") > max_docs)
+def frequent_lines(lined: DataFrame, max_docs: int, salts: int = 32) -> DataFrame:
+    """(host, hash, n_docs) of lines in more than ``max_docs`` documents of the host.
+
+    Rows are at least as many as documents, so only lines in more rows than that have their ids told apart.
+    """
+    own = F.when(F.col("doc_id").isNull(), F.col("_row"))  # a row without id is a document of its own
+    each = lined.select("_row", "doc_id", own.alias("_own"), "host", F.explode(F.array_distinct("hashes")).alias("hash"))
+    many = salted(each.groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > max_docs).select(F.col("host").alias("_host"), F.col("hash").alias("_hash")), salts)
+    salt = F.pmod(F.col("_row"), F.lit(salts)).cast("int")
+    held = each.withColumn("_s", salt).join(many, F.col("host").eqNullSafe(F.col("_host")) & (F.col("hash") == F.col("_hash")) & (F.col("_s") == F.col("_salt")))
+    once = held.groupBy("host", "hash", "doc_id", "_own").agg(F.lit(1).alias("one"))
+    return once.groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n_docs")).where(F.col("n_docs") > max_docs)
 
 
 def line_frequency(docs: DataFrame, text: str = "text", host: str = "source", max_docs: int = 20, min_left: float = 0.5, salts: int = 32) -> DataFrame:
@@ -85,7 +94,7 @@ def line_frequency(docs: DataFrame, text: str = "text", host: str = "source", ma
 
     types = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in flat.schema if f.name != "_text")
     stored = cut_lineage(flat.mapInPandas(column_map(counted), f"{types}, line_words array<long>" + "".join(f", {c} long" for c in COUNTS)))
-    frequent = salted(frequent_lines(stored, max_docs).select(F.col("host").alias("_host"), F.col("hash").alias("_hash")), salts)
+    frequent = salted(frequent_lines(stored, max_docs, salts).select(F.col("host").alias("_host"), F.col("hash").alias("_hash")), salts)
     each = stored.select("_row", "host", F.explode(F.arrays_zip(F.col("hashes").alias("hash"), F.col("line_words").alias("words"))).alias("line")).withColumn("_s", F.pmod(F.col("_row"), F.lit(salts)).cast("int"))
     hit = each.join(frequent, F.col("host").eqNullSafe(F.col("_host")) & (F.col("line.hash") == F.col("_hash")) & (F.col("_s") == F.col("_salt")))
     removed = hit.groupBy("_row").agg(F.count(F.lit(1)).alias("n_removed_lines"), F.sum("line.words").alias("n_removed_words"))

@@ -75,6 +75,18 @@ def test_packing_follows_the_mixed_order(spark):
     assert early.count("a") > 2 * early.count("c")
 
 
+def test_lines_count_by_distinct_documents(spark):
+    text = "\n".join(" ".join(f"{w}{x}" for x in "abcdefghij") for w in ("one", "two", "three"))
+    rows = [(1, "s", text)] * 30
+    rows += [(100 + i, "s", "\n".join(f"{i}{k} | 12.{i}{k}" for k in range(15))) for i in range(30)]
+    rows += [(200 + i, "s", "\n".join([f"own{'x' * i} " * 25, "12.5 | 30"])) for i in range(25)] + [(None, "t", "no id but shared line\n" + text)] * 25
+    got = line_frequency.line_frequency(spark.createDataFrame(rows, "doc_id long, source string, text string")).collect()
+    assert {r.n_removed_lines for r in got if r.doc_id == 1} == {0} and all(r.kept for r in got if r.doc_id == 1)
+    assert all(r.kept and not r.n_removed_lines for r in got if 100 <= (r.doc_id or 0) < 200)
+    assert {r.n_removed_lines for r in got if (r.doc_id or 0) >= 200} == {1}
+    assert {r.n_removed_lines for r in got if r.doc_id is None} == {4}
+
+
 def test_shares_that_divide_no_period_hold_at_every_slot(spark):
     weights = {f"s{k:02d}": (k + 1) ** 0.5 for k in range(90)}
     total, seen, n = sum(weights.values()), dict.fromkeys(weights, 0), 20_000
