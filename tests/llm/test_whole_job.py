@@ -4,7 +4,7 @@ import itertools
 import random
 
 import corpus_pipeline
-from newsgrid.llm import line_frequency, near_copies, packing, pfair
+from newsgrid.llm import line_chunks, line_frequency, near_copies, packing, pfair
 from newsgrid.llm.common import table
 from newsgrid.llm.llm_queries import tokenizer_path
 
@@ -102,3 +102,27 @@ def test_every_source_has_its_own_queue_and_weight(spark):
     made = pfair.mix(spark.createDataFrame(rows, "doc_id long, source string, text string"), {"s99": 60.0, "s98": 30.0}, block=1).collect()
     assert len({r.slot for r in made}) == 1000 and {r.queue for r in made} == {r.source for r in made}
     assert sum(r.queue == "s99" for r in made if r.slot < 20) >= 2
+
+
+def test_passages_on_few_lines_go_whole(spark):
+    rows, want = [], {}
+    for n in (2, 3, 4, 5, 6, 7):
+        for case in range(6):
+            shared = [" ".join(f"p{n}c{case}l{k}w{w}" for w in range(60 // n + 1)) for k in range(n)]
+            for copy in range(2):
+                own = [[f"own {part} {n} {case} {copy} line {k}" for k in range(2 + case)] for part in "ab"]
+                i = len(rows)
+                rows.append((i, "\n".join(own[0] + shared + own[1])))
+                want[i] = rows[i][1] if copy == 0 else "\n".join(own[0] + own[1])
+    got = {r.doc_id: r.text for r in line_chunks.line_chunk_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == want
+
+
+def test_copies_go_whole_and_a_repeating_text_keeps_its_first_place(spark):
+    short = "one line alone\nanother line\na third one"
+    long = "\n".join(" ".join(f"l{k}w{w}" for w in range(12)) for k in range(9))
+    again = "\n".join(["a b c d e f g h i j", "k l m n o p q r s t"] * 12)
+    rows = [(0, short), (1, short), (2, long), (3, long), (4, again), (5, "single line"), (6, "single line")]
+    got = {r.doc_id: r.text for r in line_chunks.line_chunk_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert set(got) == {0, 2, 4, 5, 6}
+    assert got[0] == short and got[2] == long and len(got[4].split("\n")) >= 5 and again.startswith(got[4])
