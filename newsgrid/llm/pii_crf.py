@@ -1,10 +1,11 @@
 """Personal data: exact base spans, widened by a skip-chain conditional random field.
 
-Tokens (runs without white space) that hold a digit or '@' are nodes with a label each: none, email,
-ip, card, phone. Unary scores come from weights learned from base spans of a bounded sample;
-neighbours in the text and the nearest tokens of the same or a similar form (digits alike, no
-punctuation) share potentials, and loopy max-free message passing settles the labels of a whole
-document. A token that takes a kind without a base span becomes a span of that kind.
+Tokens (runs without white space, or several of digits and signs only, one space apart) that hold a
+digit or '@' are nodes with a label each: none, email, ip, card, phone. Unary scores come from weights
+learned from base spans of a bounded sample; neighbours in the text share potentials, and all tokens of
+the same or a similar form (see ``forms``) share a hub, so any two are two hops apart. Tokens of one
+form without a base span weigh as one together. Loopy max-free message passing settles the labels of
+every document. A token that takes a kind without a base span becomes a span of that kind.
 
 Null and empty texts have no spans. Offsets are code points of the whole text, ends exclusive.
 """
@@ -27,7 +28,7 @@ DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"(?<![0-9])[0-9]+(?:\.[0-9]+){3}")
 CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-TOKEN = re.compile(r"\S+")
+TOKEN = re.compile(r"\+?[0-9(][0-9().-]*(?: [0-9(][0-9().-]*)*[,;:!?]*(?!\S)|\S+")
 NODE = re.compile(r"[0-9@]")
 
 
@@ -78,6 +79,21 @@ def form(token: str) -> str:
     return re.sub(r"[\W_]+", "", token.lower())
 
 
+def forms(token: str) -> list[str]:
+    """Keys of the hubs of a token: its form, and a similar one.
+
+    Dotted quads go by their four numbers; digits with signs by all digits and, from seven on, by the last
+    seven (with or without prefixes); others by letters and digits, addresses also by the part before '@'.
+    """
+    if quad := IP.search(token):
+        return ["ip:" + ".".join(p.lstrip("0") or "0" for p in quad[0].split("."))]
+    if not any(c.isalpha() for c in token) and "@" not in token:
+        digits = digits_of(token)
+        return ["number:" + digits] + ["tail:" + digits[-7:]] * (len(digits) >= 7)
+    whole, local = form(token), form(token.partition("@")[0])
+    return ["word:" + x for x in dict.fromkeys([whole, local]) if x]
+
+
 def nodes_of(text: str, base: dict[str, list[tuple[int, int]]]):
     """(spans of nodes, their observed label, with 0 for none)."""
     spans = [m.span() for m in TOKEN.finditer(text) if NODE.search(m[0])] if NODE.search(text) else []
@@ -132,26 +148,30 @@ def messages(unary: np.ndarray, edges: np.ndarray, same: np.ndarray, rounds: int
     return belief
 
 
-def added_spans(text: str, base, weights: dict[str, np.ndarray], chain: float = 0.2, skip: float = 4.0, seen_at: float = 12.0, rounds: int = 20) -> list[tuple[str, int, int]]:
+def added_spans(text: str, base, weights: dict[str, np.ndarray], chain: float = 0.2, skip: float = 4.0, seen_skip: float = 8.0, seen_at: float = 12.0, rounds: int = 20) -> list[tuple[str, int, int]]:
     spans, seen = nodes_of(text, base)
-    if not len(spans) or not seen.any():
-        return []  # without any evidence of a kind, none is the settled label
+    if not spans:
+        return []
     unary = np.array([weights[""] + 0.5 * sum(weights.get(f, weights["?"]) for f in features(text[s:e])) for s, e in spans])
     unary -= unary.max(1, keepdims=True)
     unary[seen > 0, seen[seen > 0]] += seen_at
-    edges, same, last = [], [], {}
+    edges, same, alike = [], [], {}
     for i, (s, e) in enumerate(spans):
         if i and s - spans[i - 1][1] <= 1:
             edges.append((i - 1, i))
             same.append(chain)
-        key = form(text[s:e])
-        if len(key) >= 6:
-            if key in last:  # the nearest earlier token of this form; longer ties follow along the chain of them
-                edges.append((last[key], i))
-                same.append(skip)
-            last[key] = i
+        for key in forms(text[s:e]):
+            alike.setdefault(key, []).append(i)
+    alike = list({tuple(members) for members in alike.values() if len(members) > 1})
+    shared = np.ones(len(spans))
+    for hub, members in enumerate(alike, len(spans)):
+        edges += [(i, hub) for i in members]
+        same += [seen_skip if seen[i] else skip for i in members]  # a base span outweighs the doubt of its form
+        shared[list(members)] = np.maximum(shared[list(members)], len(members))
+    unary[seen == 0] /= shared[seen == 0, None]
+    unary = np.vstack([unary, np.zeros((len(alike), unary.shape[1]))])
     belief = messages(unary, np.array(edges).reshape(-1, 2).astype(int), np.array(same), rounds)
-    label = belief.argmax(1)
+    label = belief[: len(spans)].argmax(1)
     return [(KINDS[k - 1], *spans[i]) for i, k in enumerate(label) if k and not seen[i]]
 
 

@@ -4,7 +4,7 @@ import itertools
 import random
 
 import corpus_pipeline
-from newsgrid.llm import line_chunks, line_frequency, near_copies, packing, pfair
+from newsgrid.llm import line_chunks, line_frequency, near_copies, packing, pfair, pii_crf
 from newsgrid.llm.common import table
 from newsgrid.llm.llm_queries import tokenizer_path
 
@@ -126,3 +126,14 @@ def test_copies_go_whole_and_a_repeating_text_keeps_its_first_place(spark):
     got = {r.doc_id: r.text for r in line_chunks.line_chunk_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert set(got) == {0, 2, 4, 5, 6}
     assert got[0] == short and got[2] == long and len(got[4].split("\n")) >= 5 and again.startswith(got[4])
+
+
+def test_one_sign_of_a_kind_reaches_a_hundred_repeats():
+    learnt = [f"Call +49 30 {n} or 49 30 in {n % 90} days, see 10.0.{n % 250}.1, a{n}@host.org and item {n}" for n in range(1234567, 1234867)]
+    weights = pii_crf.learn(learnt)
+    for first, again, kind in (("+49 30 1234567", "49301234567", "phone"), ("+49 30 7654321", "030 7654321", "phone")):
+        text = f"call {first} now. " + f"or {again} later then and so on. " * 100
+        more = pii_crf.added_spans(text, pii_crf.base_spans(text), weights)
+        assert sum(k == kind and text[s:e] == again for k, s, e in more) == 100
+    assert pii_crf.forms("10.0.0.1,") == pii_crf.forms("10.0.00.1") and pii_crf.forms("10.0.0.1") != pii_crf.forms("10001")
+    assert not pii_crf.added_spans("in 2020 3 people bought 12 things, 12 of them new", {k: [] for k in pii_crf.KINDS}, weights)
