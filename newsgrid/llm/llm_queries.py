@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from newsgrid.llm import arc, hashing_search, licenses, line_chunks, line_frequency, packing, pfair, pii_crf, simhash, toxicity
+from newsgrid.llm import arc, filter_audit, hard_negatives, hashing_search, licenses, line_chunks, line_frequency, packing, pfair, pii_crf, secret_links, simhash, toxicity
 from newsgrid.llm.common import cut_lineage, fresh_path, table
 
 
@@ -83,7 +83,24 @@ def op10_toxicity(spark, sf):
     return made.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
-NAMES = [op1_line_frequency, op2_multi_index_hashing, op3_line_chunks, op4_arc_to_warc, op5_pfair_mixing, op6_simhash, op7_packing, op8_license_rules, op9_skip_chain_crf, op10_toxicity]
+def op11_filter_audit(spark, sf):
+    return filter_audit.audit(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+def op12_hard_negatives(spark, sf):
+    label = F.col("label").cast("long")
+    moved = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    return hard_negatives.mine(table(spark, sf, "embeddings"), F.col("id") % 100 == 0, moved)
+
+
+def op13_secret_links(spark, sf):
+    made = secret_links.find_secrets(table(spark, sf, "documents"))
+    told = lambda c: F.array_join(F.transform(c, lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))), ",")
+    counts = [F.size(F.filter("base", lambda x: x["kind"] == k)).cast("long").alias(f"n_{k}") for k in secret_links.KINDS]  # noqa: B023
+    return made.select("doc_id", *counts, F.sha2(told("base"), 256).alias("base_sha256"), told("spans").alias("spans"))
+
+
+NAMES = [op1_line_frequency, op2_multi_index_hashing, op3_line_chunks, op4_arc_to_warc, op5_pfair_mixing, op6_simhash, op7_packing, op8_license_rules, op9_skip_chain_crf, op10_toxicity, op11_filter_audit, op12_hard_negatives, op13_secret_links]
 QUERIES = {f.__name__: f for f in NAMES}
 
 ORACLE = {
@@ -91,8 +108,30 @@ ORACLE = {
         with p as (select page_id, coalesce(html, '') h, octet_length(encode(coalesce(html, ''))) n from pages),
         d as (select page_id, n, sha1(h) s from p),
         m as (select s, n, max(page_id) head from d where n >= 1000 group by s, n)
-        select page_id, n::bigint payload_bytes, d.s payload_digest,
+        select page_id, d.n::bigint payload_bytes, d.s payload_digest,
                case when head is not null and head <> page_id then 'revisit' else 'response' end record_type,
                case when head <> page_id then head end refers_to
         from d left join m on d.s = m.s and d.n = m.n""",
+    "op11_filter_audit": r"""
+        with d as (select doc_id, coalesce(source, '') part, coalesce(text, '') t from documents),
+        w as (select *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') words, coalesce(doc_id > min(doc_id) over (partition by t), false) copy from d),
+        m as (select doc_id, part,
+                case when len(words) < 200 then 1 else 0 end + case when 100 * len(list_distinct(words)) < 50 * len(words) then 2 else 0 end
+                + case when 100 * length(regexp_replace(t, '[^A-Z]+', '', 'g')) > 2 * length(t) then 4 else 0 end
+                + case when regexp_matches(t, '[#$%&*|]') then 8 else 0 end + case when copy then 16 else 0 end mask from w),
+        l as (select doc_id, max(case when quality = 1 then 1 else 0 end) good, max(case when toxic = 1 then 1 else 0 end) toxic from labels group by doc_id),
+        c as (select part, mask, count(*) n, sum(coalesce(good, 0)) g, sum(coalesce(toxic, 0)) x from m left join l using (doc_id) group by part, mask),
+        f(name, bit) as (values ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)),
+        o as (select a.name || b.name || c.name || d.name || e.name filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] bits
+              from f a, f b, f c, f d, f e where a.bit + b.bit + c.bit + d.bit + e.bit = 31 and a.bit | b.bit | c.bit | d.bit | e.bit = 31),
+        s as (select filter_order, step, bits[step] bit, coalesce(list_sum(bits[:step - 1]), 0)::int before from o, range(1, 6) r(step)),
+        t as (select part, filter_order, step, bit, sum(case when mask & (before | bit) = 0 then n else 0 end) kept,
+                sum(case when mask & before = 0 and mask & bit <> 0 then n else 0 end) removed,
+                sum(case when mask & before <> 0 and mask & bit <> 0 then n else 0 end) redundant,
+                sum(case when mask = bit then n else 0 end) unique_fails,
+                sum(case when mask & before = 0 and mask & bit <> 0 then g else 0 end) good_lost,
+                sum(case when mask & before = 0 and mask & bit <> 0 then x else 0 end) toxic_lost
+              from c, s group by part, filter_order, step, bit)
+        select part, filter_order, step::int step, kept::bigint kept, removed::bigint removed, redundant::bigint redundant, unique_fails::bigint unique_fails,
+               good_lost::bigint good_lost, toxic_lost::bigint toxic_lost, (sum(removed) over (partition by part, bit))::bigint shapley from t""",
 }
