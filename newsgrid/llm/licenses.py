@@ -5,6 +5,9 @@ form, a label, a priority and a keyword; only rules whose keyword is among the w
 only in texts that hold a keyword at all. A detection inside another of higher priority, or inside a
 longer one of the same priority, is suppressed. Null text is empty. Extra columns pass, those named like a
 result are replaced, names with a leading underscore are reserved; repeated rows are scanned each.
+
+Words are cut by one split and matches by one replacement that marks them, as both are linear in the text;
+the list of all matches that the regex functions offer copies the text once per match.
 """
 
 from __future__ import annotations
@@ -12,7 +15,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+MARK = "\u0001"  # stands in no joined text
+RUN = 256  # lengths that are summed one by one
 
 # Phrases and the labels the base scan gives them.
 BASE = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
@@ -82,6 +87,62 @@ CLAUSES = [
     ("commercial", r"not for commercial use|non commercial use only", "non-commercial"),
     ("redistribute", r"do not redistribute|may not redistribute", "no-redistribution"),
 ]
+# Sentences of licence bodies and of file headers.
+SENTENCES = [
+    ("portions", r"the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software", "mit"),
+    ("noninfringement", r"fitness for a particular purpose and noninfringement", "mit"),
+    ("merchantability", r"merchantability fitness for a particular purpose and non ?infringement in no event shall the authors", "mit"),
+    ("redistributions", r"redistributions of source code must retain the above copyright notice", "bsd"),
+    ("redistributions", r"redistributions in binary form must reproduce the above copyright notice", "bsd"),
+    ("advertising", r"all advertising materials mentioning features or use of this software must display", "bsd-4-clause"),
+    ("contributors", r"neither the name of .{1,80}? nor the names of its contributors", "bsd-3-clause"),
+    ("regents", r"the regents of the university of california", "bsd"),
+    ("compliance", r"you may not use this file except in compliance with the license", "apache-2.0"),
+    ("obtain", r"you may obtain a copy of the license at http www apache org licenses license 2 0", "apache-2.0"),
+    ("governing", r"see the license for the specific language governing permissions and limitations under the license", "apache-2.0"),
+    ("grant", r"grant of patent license subject to the terms and conditions of this license", "apache-2.0"),
+    ("foundation", r"as published by the free software foundation", "gpl"),
+    ("option", r"either version 2 of the license or at your option any later version", "gpl-2.0-or-later"),
+    ("foundation", r"free software foundation either version 2 of the license or at your option any later version", "gpl-2.0-or-later"),
+    ("foundation", r"free software foundation either version 3 of the license or at your option any later version", "gpl-3.0-or-later"),
+    ("foundation", r"free software foundation version 2 of the license", "gpl-2.0"),
+    ("foundation", r"free software foundation version 3 of the license", "gpl-3.0"),
+    ("copyleft", r"a free copyleft license for software and other kinds of works", "gpl-3.0"),
+    ("network", r"ensure cooperation with the community in the case of network server software", "agpl-3.0"),
+    ("libraries", r"applies to some specially designated software packages typically libraries", "lgpl-2.1"),
+    ("mozilla", r"this source code form is subject to the terms of the mozilla public license v 2 0", "mpl-2.0"),
+    ("mozilla", r"the contents of this file are subject to the mozilla public license version 1 1", "mpl-1.1"),
+    ("eclipse", r"this program and the accompanying materials are made available under the terms of the eclipse public license", "epl"),
+    ("organization", r"permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this license", "bsl-1.0"),
+    ("liable", r"this software is provided as is without any express or implied warranty in no event will the authors be held liable", "zlib"),
+    ("misrepresented", r"the origin of this software must not be misrepresented", "zlib"),
+    ("misrepresented", r"altered source versions must be plainly marked as such and must not be misrepresented", "zlib"),
+    ("unencumbered", r"this is free and unencumbered software released into the public domain", "unlicense"),
+    ("dedicate", r"dedicate any and all copyright interest in the software to the public domain", "unlicense"),
+    ("affirmer", r"affirmer hereby overtly fully permanently irrevocably and unconditionally waives", "cc0-1.0"),
+    ("credit", r"you must give appropriate credit provide a link to the license and indicate if changes were made", "cc-by"),
+    ("commercial", r"you may not use the material for commercial purposes", "cc-by-nc"),
+    ("remix", r"if you remix transform or build upon the material you must distribute your contributions under the same license", "cc-by-sa"),
+    ("remix", r"if you remix transform or build upon the material you may not distribute the modified material", "cc-by-nd"),
+    ("fuck", r"do what the fuck you want to", "wtfpl"),
+    ("beer", r"you can buy me a beer in return", "beerware"),
+    ("font", r"the font software may be modified altered or added to", "ofl"),
+    ("font", r"reserved font name", "ofl"),
+    ("intent", r"the intent of this document is to state the conditions under which a package may be copied", "artistic-1.0"),
+    ("perl", r"(?:under the same terms as|same terms as) perl(?: itself)?", "perl"),
+    ("invariant", r"with no invariant sections no front cover texts and no back cover texts", "gfdl"),
+    ("database", r"this database is made available under the open database license", "odbl"),
+    ("openssl", r"this product includes software developed by the openssl project", "openssl"),
+    ("reproduced", r"no part of this (?:book|publication|document|work) may be reproduced", "no-reproduction"),
+    ("consent", r"without the (?:prior|express)(?: prior)? written (?:consent|permission) of", "no-reproduction"),
+    ("trade", r"(?:contains|constitutes) (?:confidential and )?(?:proprietary information|trade secrets)", "proprietary"),
+    ("reserved", r"all rights reserved by the (?:author|licensor|publisher)s?", "reserved-by-owner"),
+    ("evaluation", r"for (?:internal )?evaluation (?:purposes )?only", "evaluation-only"),
+    ("academic", r"for (?:academic|research) (?:use|purposes) only", "research-only"),
+    ("research", r"for (?:academic and )?research (?:use|purposes) only", "research-only"),
+    ("educational", r"for (?:personal|private)(?: and| or)? educational use only", "personal-use"),
+    ("personal", r"for personal(?: and)? non ?commercial use only", "personal-use"),
+]
 # The parts a Creative Commons name may add, and its versions.
 CC_PARTS = ["", "nc", "nd", "sa", "nc nd", "nc sa"]
 CC_LONG = {"nc": "non ?commercial", "nd": "no ?derivatives", "sa": "share ?alike"}
@@ -110,7 +171,7 @@ def rules() -> list[tuple[str, str, str, int]]:
             out.append(("commons", f"creative commons {long} {digits}(?: international| unported| generic)?", f"{label}-{v}", 30 + depth))
         out.append(("cc", " ".join(["cc by", *parts.split()]), label, 10 + depth))
         out.append(("commons", f"creative commons {long}", label, 10 + depth))
-    out += [(k, p, label, 20) for k, p, label in CLAUSES]
+    out += [(k, p, label, 20) for k, p, label in CLAUSES] + [(k, p, label, 35) for k, p, label in SENTENCES]
     return sorted(out, key=lambda r: (-r[3], r[2], r[1]))
 
 
@@ -131,16 +192,69 @@ def _literal_rules() -> Column:
     return F.array(*[F.struct(F.lit(k).alias("keyword"), F.lit(rf"(?<= )(?:{p})(?= )").alias("regex"), F.lit(label).alias("label"), F.lit(n).alias("priority")) for k, p, label, n in rules()])
 
 
+def bound(value: Column, body) -> Column:
+    """``body(value)`` with the value evaluated once; a lambda evaluates what it reads from outside at every step."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def summed(values: Column) -> Column:
+    return F.aggregate(values, F.lit(0), lambda a, x: a + x)
+
+
+def block_numbers(values: Column) -> Column:
+    """0, 1, ... for the blocks of ``RUN`` elements; none for an empty array."""
+    last = F.floor((F.size(values) - 1) / RUN).cast("int")
+    return F.when(F.size(values) > 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
+
+
+def block_of(values: Column, b: Column) -> Column:
+    return F.slice(values, b * RUN + 1, F.lit(RUN))
+
+
+def starts_of(lengths: Column) -> Column:
+    """The sum of the lengths before each one: block sums first, so that the work stays linear in long lists."""
+    sums = F.transform(block_numbers(lengths), lambda b: summed(block_of(lengths, b)))
+    before = F.aggregate(sums, F.array(F.lit(0)), lambda a, x: F.concat(a, F.array(F.element_at(a, -1) + x)))
+    within = lambda part, start: F.transform(part, lambda _, i: start + summed(F.slice(part, F.lit(1), i)))
+    return bound(before, lambda at: F.flatten(F.transform(block_numbers(lengths), lambda b: bound(block_of(lengths, b), lambda part: within(part, F.element_at(at, b + 1))))))
+
+
 def detections() -> Column:
-    """(label, priority, from, upto) of every match of every rule whose keyword is in ``_words``, in characters of ``_norm``."""
+    """(from, upto, priority, label) of every match of every rule whose keyword is in ``_present``, in characters of ``_norm``, in order."""
+
+    def placed(rule: Column, lengths: Column) -> Column:
+        span = lambda start, i: F.struct(start.alias("from"), (start + F.element_at(lengths, i + 1)).alias("upto"), rule["priority"].alias("priority"), rule["label"].alias("label"))
+        return F.filter(F.transform(starts_of(lengths), span), lambda _, i: i % 2 == 1)
 
     def of(rule: Column) -> Column:
-        hits = F.regexp_extract_all("_norm", rule["regex"], F.lit(0))
-        gaps = F.split("_norm", rule["regex"])
-        start = lambda i: F.aggregate(F.slice(gaps, 1, i + 1), F.lit(0), lambda a, x: a + F.length(x)) + F.aggregate(F.slice(hits, 1, i), F.lit(0), lambda a, x: a + F.length(x))
-        return F.transform(hits, lambda h, i: F.struct(rule["label"].alias("label"), rule["priority"].alias("priority"), start(i).alias("from"), (start(i) + F.length(h)).alias("upto")))
+        pieces = F.split(F.regexp_replace("_norm", rule["regex"], F.lit(f"{MARK}$0{MARK}")), MARK)  # gap, match, gap, match, gap
+        return bound(F.transform(pieces, lambda x: F.length(x)), lambda lengths: F.when(F.size(lengths) > 1, placed(rule, lengths)))
+
+    found = F.transform(F.filter(F.col("_rules"), lambda r: F.array_contains("_present", r["keyword"])), of)
+    return F.array_sort(F.flatten(F.filter(found, lambda x: x.isNotNull())))
+
 
-    return F.flatten(F.transform(F.filter(F.col("_rules"), lambda r: F.array_contains("_words", r["keyword"])), of))
+def unsuppressed(found: Column) -> Column:
+    """Detections that lie in none of higher priority and in no longer one of theirs.
+
+    ``found`` is in order of place; a block of it is compared with the blocks before that reach into it.
+    """
+    inside = lambda x, y: (y["from"] <= x["from"]) & (y["upto"] >= x["upto"]) & ((y["priority"] > x["priority"]) | ((y["priority"] == x["priority"]) & (y["upto"] - y["from"] > x["upto"] - x["from"])))
+    reach = F.transform(block_numbers(found), lambda b: F.array_max(F.transform(block_of(found, b), lambda x: x["upto"])))
+
+    def kept(far: Column, b: Column) -> Column:
+        first = F.element_at(found, b * RUN + 1)["from"]
+        near = F.filter(block_numbers(found), lambda c: (c <= b + 1) & (F.element_at(far, c + 1) >= first))
+        return bound(F.flatten(F.transform(near, lambda c: block_of(found, c))), lambda ys: F.filter(block_of(found, b), lambda x: ~F.exists(ys, lambda y: inside(x, y))))
+
+    return bound(reach, lambda far: F.flatten(F.transform(block_numbers(found), lambda b: kept(far, b))))
+
+
+def covered(spans: Column) -> Column:
+    """Characters under at least one of the spans (from, upto)."""
+    start = F.struct(F.lit(0).alias("upto"), F.lit(0).alias("n"))
+    step = lambda a, x: F.struct(F.greatest(a["upto"], x["upto"]).alias("upto"), (a["n"] + F.greatest(F.lit(0), x["upto"] - F.greatest(a["upto"], x["from"]))).alias("n"))
+    return F.aggregate(F.array_sort(spans), start, step, lambda a: a["n"])
 
 
 def scan_licenses(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -149,19 +263,18 @@ def scan_licenses(docs: DataFrame, text: str = "text") -> DataFrame:
     score: the share of the text's characters that kept detections cover, at most 1.
     """
     keywords = sorted({r[0] for r in rules()})
-    step = docs.withColumn("_words", F.regexp_extract_all(lowered(text), F.lit(WORDS), F.lit(0)))
+    step = docs.withColumn("_words", F.filter(F.split(lowered(text), BETWEEN), lambda w: w != ""))
     step = step.withColumn("_norm", F.concat(F.lit(" "), F.array_join("_words", " "), F.lit(" ")))
     step = step.withColumn("base", F.filter(F.array(*[F.struct(F.lit(label).alias("label"), places(p).alias("at")) for p, label in BASE.items()]), lambda x: F.size(x["at"]) > 0))
-    gate = F.arrays_overlap("_words", F.array(*[F.lit(k) for k in keywords]))
-    step = step.withColumn("_rules", F.when(gate, _literal_rules()))
+    step = step.withColumn("_present", F.array_intersect("_words", F.array(*[F.lit(k) for k in keywords])))
+    step = step.withColumn("_rules", F.when(F.size("_present") > 0, _literal_rules()))
     step = step.withColumn("_found", F.coalesce(detections(), F.array()))
-    inside = lambda x, y: (y["from"] <= x["from"]) & (y["upto"] >= x["upto"]) & ((y["priority"] > x["priority"]) | ((y["priority"] == x["priority"]) & (y["upto"] - y["from"] > x["upto"] - x["from"])))
-    step = step.withColumn("detections", F.filter("_found", lambda x: ~F.exists("_found", lambda y: inside(x, y))))
+    step = step.withColumn("detections", unsuppressed(F.col("_found")))
     base = F.transform("base", lambda x: x["label"])
     labels = F.array_sort(F.array_union(base, F.transform("detections", lambda x: x["label"])))
-    cover = F.aggregate(F.array_distinct(F.transform("detections", lambda x: F.struct(x["from"], x["upto"]))), F.lit(0), lambda a, x: a + x["upto"] - x["from"])
+    cover = covered(F.transform("detections", lambda x: F.struct(x["from"].alias("from"), x["upto"].alias("upto"))))
     made = ("n_words", "base", "detections", "base_labels", "labels", "score")
     return step.select(
         *[c for c in docs.columns if c not in made], F.size("_words").cast("long").alias("n_words"), "base", "detections", F.array_sort(F.array_distinct(base)).alias("base_labels"),
-        labels.alias("labels"), F.least(F.lit(1.0), cover / F.greatest(F.length("_norm"), F.lit(1))).alias("score"),
+        labels.alias("labels"), (cover / F.greatest(F.length("_norm"), F.lit(1))).alias("score"),
     )
