@@ -1,12 +1,16 @@
 """Reconciliation of price observations of different trust into one series per instrument.
 
 Merged tables are unique per (series, date), so a per-series window is bounded by the calendar;
-anything windowed before that uniqueness holds goes through ``previous_value``, which cuts a hot
-series into months and carries one value across each boundary.
+anything windowed before that uniqueness holds goes through ``previous_value`` or ``moving_conflicts``, which
+cut a key's rows into ranges of equal size and carry one outcome across each boundary.
 """
 
 from __future__ import annotations
 
+import math
+from bisect import bisect_left, bisect_right
+
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,6 +18,7 @@ from newsgrid.functions.dates import as_of_lit
 from newsgrid.functions.numbers import pct_change
 from newsgrid.functions.text import as_col
 from newsgrid.operators.dedupe import first_per_key
+from newsgrid.session import cut_lineage
 
 KEY = ("series", "obs_date")
 
@@ -64,31 +69,174 @@ def conflict_report(rows: DataFrame, eps: float, order: str = "event_id", keys=K
     return rows.join(first, list(keys)).filter(differs).select(*keys, order, "kept_value", "value")
 
 
-def keep_first(rows: DataFrame, order: str = "event_id", keys=KEY) -> DataFrame:
-    return first_per_key(rows, list(keys), [order])
+def typed_conflicts(rows: DataFrame, eps: float, order: str = "event_id", keys=KEY, kind: str = "observation_type") -> DataFrame:
+    """Rows that disagree with the kept row of their own type by more than ``eps``.
+
+    The first row of a key is kept until the first monthly average takes its place, so what is kept
+    at any row follows from the first row and the first monthly one: two grouped minima.
+    """
+    monthly = F.col(kind) == "monthly_average"
+    row = F.struct(order, "value")
+    kept = rows.groupBy(*keys).agg(F.min(row).alias("_first"), F.min_by(kind, order).alias("_kind"), F.min(F.when(monthly, row)).alias("_month"))
+    at = F.col(order)
+    late = F.col("_month").isNotNull() & (at > F.col(f"_month.{order}"))
+    against = F.when(late & monthly, F.col("_month.value")).when(~late & (at > F.col(f"_first.{order}")) & (F.col(kind) == F.col("_kind")), F.col("_first.value"))
+    told = rows.join(kept, list(keys)).withColumn("kept_value", against)
+    return told.filter(F.round(F.abs(F.col("value") - F.col("kept_value")), 9) > eps).select(*keys, order, "kept_value", "value")
+
+
+RANGES = 64  # ranges a key with many rows is cut into
+RANGE_ROWS = 50_000
+
 
+def near(a: float, b: float, eps: float) -> bool:
+    return round(abs(a - b), 9) <= eps
 
-def close_rewrites(rows: DataFrame, eps: float, order: str = "event_id", keys=KEY) -> DataFrame:
-    """Keep-unless-conflicting merge: a later value replaces the kept one only within ``eps`` of it.
 
-    The kept value moves, so this is a running fold; its rows per key are the notices naming one date.
+class Outcome:
+    """What a run of values makes of any kept value: the first value within ``eps`` replaces it, and so on.
+
+    ``after[i]`` is the kept value at the end if value i has just been taken; a value before the run is taken
+    over by the first one near it, so the pieces ``starts`` to ``ends`` of the number line share one outcome.
+    """
+
+    def __init__(self, values: list[float], eps: float):
+        self.eps, self.starts, self.ends, self.last = eps, [], [], []
+        grid = sorted(set(values))
+        size = len(grid)
+        tree = [math.inf] * (2 * size)  # least index of a value, by its place among the sorted ones
+        after = [0.0] * len(values)
+        for i in range(len(values) - 1, -1, -1):
+            lo, hi = self.around(grid, values[i])
+            j = self.least(tree, size, lo, hi)
+            after[i] = after[j] if j < math.inf else values[i]
+            at = bisect_left(grid, values[i]) + size
+            while at:
+                tree[at] = min(i, tree[2 * at], tree[2 * at + 1]) if at < size else i
+                at >>= 1
+        self.first = after[0] if after else None
+        for i, v in enumerate(values):
+            self.cover(v - eps - 5e-10, v + eps + 5e-10, after[i])
+
+    def around(self, grid, v) -> tuple[int, int]:
+        lo, hi = bisect_left(grid, v - self.eps - 1e-9), bisect_right(grid, v + self.eps + 1e-9)
+        while lo < hi and not near(grid[lo], v, self.eps):
+            lo += 1
+        while hi > lo and not near(grid[hi - 1], v, self.eps):
+            hi -= 1
+        return lo, hi
+
+    @staticmethod
+    def least(tree, size, lo, hi):
+        best, lo, hi = math.inf, lo + size, hi + size
+        while lo < hi:
+            if lo & 1:
+                best, lo = min(best, tree[lo]), lo + 1
+            if hi & 1:
+                hi -= 1
+                best = min(best, tree[hi])
+            lo, hi = lo >> 1, hi >> 1
+        return best
+
+    def cover(self, lo: float, hi: float, outcome: float) -> None:
+        """Give the parts of [lo, hi] that no earlier value took their outcome."""
+        at = bisect_left(self.ends, lo)
+        new = []
+        while lo < hi:
+            if at < len(self.starts) and self.starts[at] < hi:
+                if lo < self.starts[at]:
+                    new.append((at, lo, self.starts[at]))
+                lo, at = max(lo, self.ends[at]), at + 1
+            else:
+                new.append((at, lo, hi))
+                break
+        for place, s, e in reversed(new):
+            self.starts.insert(place, s)
+            self.ends.insert(place, e)
+            self.last.insert(place, outcome)
+
+    def of(self, kept: float) -> float:
+        at = bisect_left(self.ends, kept)
+        return self.last[at] if at < len(self.starts) and self.starts[at] <= kept else kept
+
+
+def moving_conflicts(rows: DataFrame, eps: float, order: str = "event_id", keys=KEY) -> DataFrame:
+    """Rows that disagree by more than ``eps`` with the kept value, which each agreeing row replaces.
+
+    A running fold without a key in one task: a key with many rows is cut into ranges of its order, each range
+    is summed up by its ``Outcome`` in a task of its own, the outcomes of a key are applied in turn to
+    give every range the value it starts with, and the ranges are then replayed side by side.
     """
-    ordered = F.array_sort(F.collect_list(F.struct(order, "value")))
-    start = F.lit(None).cast("double")
-    step = lambda acc, x: F.when(acc.isNull() | (F.round(F.abs(acc - x["value"]), 9) <= eps), x["value"]).otherwise(acc)
-    return rows.groupBy(*keys).agg(F.aggregate(ordered, start, step).alias("value"))
+    keys = list(keys)
+    rows = rows.select(*keys, order, "value").filter("value IS NOT NULL")
+    cuts = F.percentile_approx(order, [k / RANGES for k in range(1, RANGES)], 10_000)
+    sizes = rows.groupBy(*keys).agg(F.when(F.count(F.lit(1)) > RANGE_ROWS, cuts).otherwise(F.array().cast(f"array<{rows.schema[order].dataType.simpleString()}>")).alias("_cuts"))
+    ranged = cut_lineage(rows.join(sizes, keys).withColumn("span", F.size(F.filter("_cuts", lambda c: c < F.col(order)))).drop("_cuts"))
+    typed = {f.name: f.dataType.simpleString() for f in ranged.schema}
+    spread = lambda df: df.repartition(*keys, "span").sortWithinPartitions(*keys, "span", order)
+    named = ", ".join(f"{k} {typed[k]}" for k in [*keys, "span"])
+
+    def runs(batches):
+        """(key and range, rows) of a sorted stream, whole ranges at a time."""
+        held = None
+        for batch in batches:
+            held = batch if held is None else pd.concat([held, batch], ignore_index=True)
+            if len(held):
+                tail = (held[[*keys, "span"]] == held[[*keys, "span"]].iloc[-1]).all(axis=1)
+                done, held = held[~tail], held[tail]
+                yield from done.groupby([*keys, "span"], sort=False, dropna=False)
+        if held is not None and len(held):
+            yield from held.groupby([*keys, "span"], sort=False, dropna=False)
+
+    def summed(batches):
+        out = []
+        for key, part in runs(batches):
+            made = Outcome(part["value"].tolist(), eps)
+            out.append((*key, made.first, made.starts, made.ends, made.last))
+        yield pd.DataFrame(out, columns=[*keys, "span", "first", "starts", "ends", "last"])
+
+    outcomes = spread(ranged).mapInPandas(summed, f"{named}, first double, starts array<double>, ends array<double>, last array<double>")
+
+    def carried(frame: pd.DataFrame) -> pd.DataFrame:
+        kept, out = None, []
+        for r in frame.sort_values("span").itertuples(index=False):
+            out.append(kept)
+            made = object.__new__(Outcome)
+            made.starts, made.ends, made.last = list(r.starts), list(r.ends), list(r.last)
+            kept = r.first if kept is None else made.of(kept)
+        return frame.sort_values("span")[[*keys, "span"]].assign(start_value=pd.Series(out, dtype="float64").to_numpy())
+
+    starts = outcomes.groupBy(*keys).applyInPandas(carried, f"{named}, start_value double")
+
+    def replayed(batches):
+        out = []
+        for _, part in runs(batches):
+            kept = part["start_value"].iloc[0]
+            for row in part.itertuples(index=False):
+                if kept is None or kept != kept or near(kept, row.value, eps):
+                    kept = row.value
+                else:
+                    out.append((*[getattr(row, k) for k in keys], getattr(row, order), kept, row.value))
+        yield pd.DataFrame(out, columns=[*keys, order, "kept_value", "value"])
+
+    schema = ", ".join(f"{k} {typed[k]}" for k in [*keys, order]) + ", kept_value double, value double"
+    return spread(ranged.join(starts, [*keys, "span"])).mapInPandas(replayed, schema)
 
 
 def previous_value(df: DataFrame, keys, date: str, value: str, order: str) -> DataFrame:
-    """Previous value in (date, order) per key, without one task holding a whole key."""
-    month = df.withColumn("_month", F.trunc(date, "month"))
-    inside = Window.partitionBy(*keys, "_month").orderBy(date, order)
-    ends = month.groupBy(*keys, "_month").agg(F.max_by(value, F.struct(date, order)).alias("_end"))
-    carry = ends.select(*keys, "_month", F.lag("_end").over(Window.partitionBy(*keys).orderBy("_month")).alias("_carry"))
-    marked = month.withColumns({"_n": F.row_number().over(inside), "_prev": F.lag(value).over(inside)})
-    joined = marked.join(carry, [*keys, "_month"], "left")
+    """Previous value in (date, order) per key, without one task holding a whole key.
+
+    Rows are dealt by ranges of (key, date, order), so a long series lies in many partitions; each gives its
+    last value of a key to the next one that holds the key.
+    """
+    ranged = cut_lineage(df.repartitionByRange(*keys, date, order).withColumn("_part", F.spark_partition_id()))
+    inside = Window.partitionBy(*keys, "_part").orderBy(date, order)
+    ends = ranged.groupBy(*keys, "_part").agg(F.max_by(value, F.struct(date, order)).alias("_end"))
+    carry = ends.select(*keys, "_part", F.lag("_end").over(Window.partitionBy(*keys).orderBy("_part")).alias("_carry"))
+    marked = ranged.withColumns({"_n": F.row_number().over(inside), "_prev": F.lag(value).over(inside)})
+    joined = marked.join(carry, [*keys, "_part"], "left")
     prev = F.when(F.col("_n") == 1, F.col("_carry")).otherwise(F.col("_prev"))
-    return joined.withColumn("prev_value", prev).drop("_month", "_n", "_prev", "_carry")
+    return joined.withColumn("prev_value", prev).drop("_part", "_n", "_prev", "_carry")
 
 
 def day_over_day_check(

@@ -79,7 +79,7 @@ def _(spark, sf):
     return filters.gap_window(rows, "period_end", "1996-07-28", "1999-01-31").select("o_orderkey")
 
 
-_D_SCORE = (
+D_SCORE = (
     "(CASE WHEN published_at IS NOT NULL THEN 1 ELSE 0 END + CASE WHEN summary <> '' THEN 1 ELSE 0 END + CASE WHEN author <> '' THEN 1 ELSE 0 END"
     " + CASE WHEN region_raw <> '' THEN 1 ELSE 0 END + len([c for c in string_split(categories_text, '|') if c <> '']))"
 )
@@ -87,7 +87,7 @@ _D_SCORE = (
 
 @query(
     "dedupe_best",
-    f"""{WITH_NEWS}, r AS (SELECT doc_id, {d_canonical('url')} AS key, {_D_SCORE} AS score, row_number() OVER (PARTITION BY {d_canonical('url')} ORDER BY {_D_SCORE} DESC, doc_id) AS rn FROM news_items)
+    f"""{WITH_NEWS}, r AS (SELECT doc_id, {d_canonical('url')} AS key, {D_SCORE} AS score, row_number() OVER (PARTITION BY {d_canonical('url')} ORDER BY {D_SCORE} DESC, doc_id) AS rn FROM news_items)
     SELECT doc_id, key, CAST(score AS INT) AS score FROM r WHERE rn = 1""",
 )
 def _(spark, sf):
@@ -100,7 +100,7 @@ def _(spark, sf):
 @query(
     "pool_merge",
     f"""{WITH_NEWS}, b AS (SELECT *, 0 AS tier FROM news_items WHERE doc_id % 2 = 0 AND source_channel <> 'old_web_channel' UNION ALL SELECT *, 1 FROM news_items WHERE doc_id % 2 = 1),
-    r AS (SELECT *, row_number() OVER (PARTITION BY {d_canonical('url')} ORDER BY {_D_SCORE} DESC, tier, doc_id) AS rn FROM b)
+    r AS (SELECT *, row_number() OVER (PARTITION BY {d_canonical('url')} ORDER BY {D_SCORE} DESC, tier, doc_id) AS rn FROM b)
     SELECT doc_id, strftime(published_at, '%Y-%m-%d %H:%M') AS published, title FROM r WHERE rn = 1 AND (published_date IS NULL OR published_date >= DATE '2024-02-10')""",
 )
 def _(spark, sf):

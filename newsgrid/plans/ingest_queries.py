@@ -9,8 +9,9 @@ from pyspark.sql import types as T
 
 from newsgrid import views
 from newsgrid.operators import aggregates, filters, ranking
+from newsgrid.plans.filter_queries import D_SCORE
 from newsgrid.plans.registry import query
-from newsgrid.plans.scalar_queries import d_strip_tags, d_unescape
+from newsgrid.plans.scalar_queries import d_canonical, d_strip_tags, d_unescape
 from newsgrid.session import cut_lineage, shared_dir
 from newsgrid.sources import disclosures, envelope, feeds, listing, prices, sinks
 from newsgrid.streaming import jobs
@@ -138,7 +139,7 @@ def price_pages(spark, sf):
         F.lit("'}]</script></html>"),
     )
     pages = table(spark, sf, "orders").select(F.col("o_orderkey").alias("page_id"), html.alias("html"))
-    return cut_lineage(pages)  # the landed pages
+    return cut_lineage(pages.repartition(32))  # the landed pages, in as many files as a crawl would leave
 
 
 @query(
@@ -355,9 +356,12 @@ def _(spark, sf):
         "id", "title", "published_at", F.lit(False).alias("critical"), F.array().cast("array<struct<name:string,type:string>>").alias("priority_matches"),
         F.struct(F.lit(False).alias("macro_related")).alias("score_components"), F.col("analysis_mode").alias("ai_mode"),
     )
-    sinks.write_feed(shaped, out, AS_OF)
-    current = spark.read.parquet(f"{out}/current").select("id", F.lit(True).alias("is_current"))
-    archive = spark.read.parquet(f"{out}/archive").select("id", F.col("published_day").cast("date").alias("published_day"))
+    day = F.coalesce(F.col("published_at").cast("date"), F.lit("1970-01-01").cast("date"))
+    sinks.write_feed(shaped.withColumn("title", F.when(F.dayofmonth(day) == 1, F.lit("earlier")).otherwise(F.col("title"))), out, AS_OF)
+    sinks.write_feed(shaped, out, AS_OF)  # writes what has changed since
+    store = sinks.feed_store(shaped, out)
+    current = store.read("current").select("id", F.lit(True).alias("is_current"))
+    archive = store.read("archive").select("id", F.col("published_at").cast("date").alias("published_day"))
     return archive.join(current, "id", "left").select("id", "published_day", F.coalesce("is_current", F.lit(False)).alias("is_current"))
 
 
@@ -370,12 +374,22 @@ def _events_stream(spark, sf):
     return jobs.file_stream(spark, sf, table(spark, sf, "events").schema, "events.parquet")
 
 
-@query("stream_ingest_dedupe", "SELECT DISTINCT user_id, event_type FROM events")
+POOL = "doc_id long, id string, title string, summary string, source string, source_channel string, url string, published_at timestamp_ntz, published_date date, author string, region_raw string, categories_raw array<string>"
+
+
+@query(
+    "stream_ingest_dedupe",
+    f"""{WITH_NEWS}, r AS (SELECT *, row_number() OVER (PARTITION BY {d_canonical('url')} ORDER BY {D_SCORE} DESC, doc_id) AS rn FROM news_items)
+    SELECT doc_id, id, title, strftime(published_at, '%Y-%m-%d %H:%M') AS published FROM r WHERE rn = 1""",
+)
 def _(spark, sf):
-    out = scratch(spark, "ingest")
-    unique = jobs.drop_repeats(_events_stream(spark, sf), "ts", ["user_id", "event_type"], "60 days")
-    jobs.run_to_files(unique.select("user_id", "event_type"), f"{out}/rows", f"{out}/checkpoint")
-    return spark.read.schema("user_id long, event_type string").parquet(f"{out}/rows")
+    out = scratch(spark, "pool")
+    store = jobs.pool_store(spark, out, POOL)
+    columns = [c.split()[0] for c in POOL.split(", ")]
+    stream = jobs.file_stream(spark, sf, table(spark, sf, "documents").schema, "documents.parquet")
+    shape = lambda batch: views.as_news_items(batch).select(*columns)
+    jobs.run_pool(stream, store, f"{out}/checkpoint", shape, ("doc_id",))
+    return store.read("pool").select("doc_id", "id", "title", F.date_format("published_at", "yyyy-MM-dd HH:mm").alias("published"))
 
 
 @query("stream_latest_quote", "SELECT user_id, arg_max(value, (ts, event_id)) AS price, strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS price_ts FROM events WHERE value > 1 GROUP BY 1")
@@ -389,10 +403,12 @@ def _(spark, sf):
 
 @query("stateful_archive")
 def _(spark, sf):
-    from newsgrid.plans.cluster_queries import week_items
-
-    items = week_items(spark, sf).withColumn("discovered_via", F.lit("direct"))
-    empty = lambda schema: spark.createDataFrame([], schema)
-    stories, members = jobs.archive_step(empty(jobs.STORY_SCHEMA), empty(jobs.MEMBER_SCHEMA), items, AS_OF)
-    counts = members.groupBy("id").agg(F.count(F.lit(1)).alias("n_items"))
-    return stories.join(counts, "id").select("id", "title", "category", "importance_score", "n_items")
+    from newsgrid.plans.cluster_queries import dated_in_week
+
+    out = scratch(spark, "archive")
+    store = jobs.archive_store(spark, out)
+    stream = jobs.file_stream(spark, sf, table(spark, sf, "documents").schema, "documents.parquet")
+    shape = lambda batch: dated_in_week(views.as_news_items(batch)).withColumn("discovered_via", F.lit("direct"))
+    jobs.run_archive(stream, store, f"{out}/checkpoint", AS_OF, shape)
+    counts = store.read("members").groupBy("id").agg(F.count(F.lit(1)).alias("n_items"))
+    return store.read("stories").join(counts, "id").select("id", "title", "category", "importance_score", "n_items")

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from newsgrid import views
 from newsgrid.operators import aggregates, ranking, series
 from newsgrid.plans.registry import query
+from newsgrid.session import shared_dir
+from newsgrid.sources import sinks
 from newsgrid.views import WITH_OBS, observations, table
 
 _COLS = ("series", "obs_date", "event_id", "value")
@@ -77,11 +81,24 @@ def _(spark, sf):
 
 @query(
     "conflict_report",
-    f"""{WITH_OBS}, f AS (SELECT series, obs_date, arg_min(value, event_id) AS kept_value FROM obs GROUP BY 1, 2)
-    SELECT o.series, o.obs_date, o.event_id, f.kept_value, o.value FROM obs o JOIN f USING (series, obs_date) WHERE round(abs(o.value - f.kept_value), 9) > 0.03""",
+    f"""{WITH_OBS}, {_PERIODS}, f AS (SELECT series, obs_date, arg_min(value, event_id) AS kept_value FROM obs GROUP BY 1, 2),
+    g AS (SELECT series, obs_date, min(event_id) AS first_id, arg_min(value, event_id) AS first_value, arg_min(observation_type, event_id) AS first_kind,
+      min(event_id) FILTER (WHERE observation_type = 'monthly_average') AS month_id, arg_min(value, event_id) FILTER (WHERE observation_type = 'monthly_average') AS month_value FROM p GROUP BY 1, 2),
+    t AS (SELECT p.series, p.obs_date, p.event_id, p.value, CASE WHEN event_id > month_id AND observation_type = 'monthly_average' THEN month_value
+      WHEN event_id > first_id AND (month_id IS NULL OR event_id <= month_id) AND observation_type = first_kind THEN first_value END AS kept_value FROM p JOIN g USING (series, obs_date)),
+    r AS (SELECT series, obs_date, event_id, value, row_number() OVER (PARTITION BY series, obs_date ORDER BY event_id) AS n FROM obs WHERE value IS NOT NULL),
+    m AS (WITH RECURSIVE k AS (SELECT series, obs_date, n, event_id, value, value AS kept, CAST(NULL AS DOUBLE) AS kept_value FROM r WHERE n = 1
+      UNION ALL SELECT r.series, r.obs_date, r.n, r.event_id, r.value, CASE WHEN round(abs(k.kept - r.value), 9) <= 25 THEN r.value ELSE k.kept END, CASE WHEN round(abs(k.kept - r.value), 9) > 25 THEN k.kept END
+      FROM k JOIN r ON r.series = k.series AND r.obs_date = k.obs_date AND r.n = k.n + 1) SELECT * FROM k WHERE kept_value IS NOT NULL)
+    SELECT 'first' AS rule, o.series, o.obs_date, o.event_id, f.kept_value, o.value FROM obs o JOIN f USING (series, obs_date) WHERE round(abs(o.value - f.kept_value), 9) > 0.03
+    UNION ALL SELECT 'typed', series, obs_date, event_id, kept_value, value FROM t WHERE round(abs(value - kept_value), 9) > 0.03
+    UNION ALL SELECT 'moving', series, obs_date, event_id, kept_value, value FROM m""",
 )
 def _(spark, sf):
-    return series.conflict_report(observations(spark, sf), 0.03)
+    obs = observations(spark, sf)
+    ruled = lambda name, df: df.select(F.lit(name).alias("rule"), "series", "obs_date", "event_id", "kept_value", "value")
+    first, typed = ruled("first", series.conflict_report(obs, 0.03)), ruled("typed", series.typed_conflicts(periods(spark, sf), 0.03))
+    return first.unionByName(typed).unionByName(ruled("moving", series.moving_conflicts(obs, 25)))
 
 
 @query(
@@ -216,9 +233,12 @@ def _(spark, sf):
 @query(
     "sink_if_changed",
     f"""{WITH_OBS}, s AS (SELECT series, obs_date, max(value) AS value FROM obs WHERE tier < 2 GROUP BY 1, 2), f AS (SELECT series, obs_date, max(value) AS value FROM obs GROUP BY 1, 2)
-    (SELECT *, 'removed' AS change FROM s EXCEPT ALL SELECT *, 'removed' FROM f) UNION ALL (SELECT *, 'added' FROM f EXCEPT ALL SELECT *, 'added' FROM s)""",
+    SELECT *, true AS first, false AS again, EXISTS (FROM f EXCEPT ALL FROM s) OR EXISTS (FROM s EXCEPT ALL FROM f) AS changed FROM f""",
 )
 def _(spark, sf):
     top = lambda df: df.groupBy("series", "obs_date").agg(F.max("value").alias("value"))
     obs = observations(spark, sf)
-    return series.changed_rows(top(obs.filter("tier < 2")), top(obs))
+    path = f"{shared_dir(spark).rstrip('/')}/newsgrid-series-{uuid.uuid4().hex}"
+    stored, fresh = top(obs.filter("tier < 2")), top(obs)
+    told = {name: F.lit(sinks.write_if_changed(df, path)).alias(name) for name, df in (("first", stored), ("again", stored), ("changed", fresh))}
+    return sinks.read_written(spark, path, fresh.schema).select("*", *told.values())

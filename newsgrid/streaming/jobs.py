@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsgrid.functions.urls import canonical_url
 from newsgrid.operators import cluster, consolidate, dedupe, filters, rollup
 from newsgrid.session import cut_lineage
+from newsgrid.sources.store import TableStore
 
 
 def file_stream(spark: SparkSession, folder: str, schema, glob: str = "*.parquet") -> DataFrame:
@@ -55,29 +55,33 @@ def newest_update(updates: DataFrame, keys) -> DataFrame:
     return dedupe.first_per_key(updates, list(keys), [F.desc("batch")])
 
 
-class VersionedTable:
-    """A table replaced as a whole: each version is a new folder, the newest complete one is read."""
+BUCKETS = 64  # partitions of the pool by the hash of its key
 
-    def __init__(self, spark: SparkSession, path: str, schema):
-        self.spark, self.path, self.schema = spark, path, schema
 
-    def read(self, before: int) -> DataFrame:
-        """Newest version written before batch ``before``, else an empty table."""
-        for number in range(before - 1, -1, -1):
-            try:
-                return self.spark.read.schema(self.schema).parquet(f"{self.path}/v={number}")
-            except AnalysisException as exc:
-                if exc.getCondition() != "PATH_NOT_FOUND":
-                    raise
-        return self.spark.createDataFrame([], self.schema)
+def pool_store(spark: SparkSession, path: str, schema) -> TableStore:
+    return TableStore(spark, path, {"pool": schema})
 
-    def write(self, df: DataFrame, number: int) -> None:
-        df.write.mode("overwrite").parquet(f"{self.path}/v={number}")
 
+def pool_step(store: TableStore, batch: DataFrame, number: int, order=("id",)) -> dict[str, int]:
+    """Fold one batch into the pool of raw items: one row per canonical URL, the most complete one.
 
-def pool_step(stored: DataFrame, batch: DataFrame, as_of: str, days: int, retired) -> DataFrame:
-    """Pool after one hourly batch: completeness beats arrival, so this is the foreachBatch form."""
-    return dedupe.pool_merge(stored, batch, as_of, days, retired, ("id",))
+    Completeness beats arrival, so a stored row may give way to a later one. Ties go by ``order``, never by
+    arrival; so the pool is the same however items fall into batches. Only buckets that the batch
+    meets are read and, where a row changed, written; a replayed batch starts from what lay before it.
+    """
+    bucket = F.pmod(F.xxhash64(dedupe.item_key()), F.lit(BUCKETS))
+    met = [r["b"] for r in batch.select(bucket.alias("b")).distinct().collect()]  # at most BUCKETS
+    stored = store.read("pool", number, met)
+    best = dedupe.dedupe_best(stored.unionByName(batch.select(*stored.columns)), order)
+    return store.commit({"pool": (cut_lineage(best), bucket)}, number, {"pool": met})
+
+
+def run_pool(stream: DataFrame, store: TableStore, checkpoint: str, shape=lambda batch: batch, order=("id",)) -> None:
+    """Drain the stream into the pool; ``shape`` makes items of a batch's rows."""
+    query = stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(
+        lambda batch, number: pool_step(store, shape(batch), number, order)
+    ).start()
+    query.awaitTermination()
 
 
 STORY_COLUMNS = ["id", "title", "category", "region", "analysis_mode", "published_at", "importance_score", "entities", "sources"]
@@ -89,23 +93,54 @@ MEMBER_SCHEMA = "id string, raw_id string"
 
 
 def archive_step(archive: DataFrame, members: DataFrame, items: DataFrame, as_of: str, days: int = 7, keep_days: int = 120):
-    """(stories, members) after one batch. Late and already processed items are ignored, new ones are
-    clustered, rolled up and folded into the stored stories; stories past retention leave.
+    """(stories, members) after one batch. Late and already processed items are ignored, of items with one id
+    the newest is taken; new ones are clustered, rolled up and folded among themselves, then into
+    the stored stories; stories past retention leave.
 
     ``members`` (id, raw_id) is the table form of the stories' raw ids, so an event of any size stays
     many short rows.
     """
     recent = filters.recent_window(items, as_of, days)
-    new = recent.join(members.select(F.col("raw_id").alias("id")).distinct(), "id", "left_anti")
+    unique = dedupe.first_by_id(recent, (F.desc(filters.item_time()), "url", "title")).withColumn("id", F.col("rid")).drop("rid")
+    new = cut_lineage(unique.join(members.select(F.col("raw_id").alias("id")).distinct(), "id", "left_anti"))
     clustered = cut_lineage(new.join(cluster.leader_cluster(new), "id"))
     stories = rollup.rule_stories(clustered, as_of)
     slim = F.transform("sources", lambda s: F.struct(s["name"].alias("name"), s["url"].alias("url")))
     fresh = cut_lineage(stories.withColumn("sources", slim).select("cluster_id", *STORY_COLUMNS))
-    fresh_members = rollup.story_members(clustered, fresh)
-    every = archive.select(*STORY_COLUMNS).unionByName(fresh.select(*STORY_COLUMNS))
-    every = cut_lineage(filters.archive_retention(every, as_of, keep_days))
-    all_members = members.unionByName(fresh_members).join(every.select("id"), "id", "left_semi")
-    groups = consolidate.event_groups(every, raw_members=all_members)
-    folded = consolidate.consolidate(every, groups=groups).select(*STORY_COLUMNS)
-    moved = all_members.join(groups[0].select("id", "event_id"), "id")
-    return folded, moved.select(F.col("event_id").alias("id"), "raw_id").distinct()
+    fresh, fresh_members = folded(fresh.select(*STORY_COLUMNS), rollup.story_members(clustered, fresh))
+    if archive.isEmpty():
+        kept = filters.archive_retention(fresh, as_of, keep_days)
+        return kept, fresh_members.join(kept.select("id"), "id", "left_semi")
+    every = cut_lineage(filters.archive_retention(archive.select(*STORY_COLUMNS).unionByName(fresh), as_of, keep_days))
+    return folded(every, members.unionByName(fresh_members).join(every.select("id"), "id", "left_semi"))
+
+
+def folded(stories: DataFrame, members: DataFrame):
+    """(stories, members) with the stories of one event folded into one."""
+    groups = consolidate.event_groups(stories, raw_members=members)
+    out = cut_lineage(consolidate.consolidate(stories, groups=groups).select(*STORY_COLUMNS))
+    moved = members.join(groups[0].select("id", "event_id"), "id")
+    return out, cut_lineage(moved.select(F.col("event_id").alias("id"), "raw_id").distinct())
+
+
+def archive_store(spark: SparkSession, path: str) -> TableStore:
+    return TableStore(spark, path, {"stories": STORY_SCHEMA, "members": MEMBER_SCHEMA})
+
+
+def archive_batch(store: TableStore, items: DataFrame, number: int, as_of: str, days: int = 7, keep_days: int = 120) -> dict[str, int]:
+    """Fold one micro-batch into the stored archive as commit ``number``.
+
+    State is what the commits before ``number`` left, so a replayed batch writes the same commit again.
+    Stories lie by publication day, members by story; days and buckets without a change are not written.
+    """
+    stories, members = archive_step(store.read("stories", number), store.read("members", number), items, as_of, days, keep_days)
+    day = F.coalesce(F.unix_date(F.col("published_at").cast("date")), F.lit(-(1 << 31)))
+    return store.commit({"stories": (stories, day), "members": (members, F.pmod(F.xxhash64("id"), F.lit(BUCKETS)))}, number)
+
+
+def run_archive(stream: DataFrame, store: TableStore, checkpoint: str, as_of: str, shape=lambda batch: batch, **windows) -> None:
+    """Drain the stream into the archive, one commit a micro-batch."""
+    query = stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(
+        lambda batch, number: archive_batch(store, shape(batch), number, as_of, **windows)
+    ).start()
+    query.awaitTermination()

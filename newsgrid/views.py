@@ -119,9 +119,9 @@ def _view(spark, sf_dir, base: str, template: str) -> DataFrame:
     return spark.sql(template.format(**_SPARK).replace(f"FROM {base}", "FROM {base}"), base=table(spark, sf_dir, base))
 
 
-def news_items(spark, sf_dir) -> DataFrame:
-    """``documents`` as raw news items; the lists arrive as text and become arrays here."""
-    df = _view(spark, sf_dir, "documents", NEWS_ITEMS)
+def as_news_items(documents: DataFrame) -> DataFrame:
+    """Rows of ``documents`` as raw news items; the lists arrive as text and become arrays here."""
+    df = documents.sparkSession.sql(NEWS_ITEMS.format(**_SPARK).replace("FROM documents", "FROM {documents}"), documents=documents)
     return df.withColumns(
         {
             "categories_raw": F.filter(F.split("categories_text", "[|]"), lambda x: x != ""),
@@ -130,6 +130,10 @@ def news_items(spark, sf_dir) -> DataFrame:
     )
 
 
+def news_items(spark, sf_dir) -> DataFrame:
+    return as_news_items(table(spark, sf_dir, "documents"))
+
+
 def stories(spark, sf_dir) -> DataFrame:
     """One story per document, in the clustered-story shape; source names and entities as arrays."""
     df = _view(spark, sf_dir, "documents", STORIES)
