@@ -80,12 +80,12 @@ def html_unescape(c) -> Column:
     return bind(c, whole)
 
 
-_HIDDEN = r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<template\b.*?</template\s*>|<!--.*?-->"
+HIDDEN_MARKUP = r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<template\b.*?</template\s*>|<!--.*?-->"
 
 
 def strip_tags(c) -> Column:
     """Visible text of markup: hidden elements and tags become spaces, whitespace collapses."""
-    no_hidden = F.regexp_replace(as_col(c), _HIDDEN, " ")
+    no_hidden = F.regexp_replace(as_col(c), HIDDEN_MARKUP, " ")
     return ws_clean(html_unescape(F.regexp_replace(no_hidden, r"<[!/?]?[A-Za-z][^>]*>", " ")))
 
 

@@ -25,42 +25,30 @@ def _all(text, pattern: str, group: int = 0):
     return F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
 
 
-def table_cells(pages: DataFrame, key: str = "page_id") -> DataFrame:
-    """(page, table, row, cells, headers): cell texts of every table row."""
-    tables = pages.select(key, F.posexplode(_all(F.col("html"), r"(?is)<table\b.*?</table>")).alias("table_no", "t"))
-    headers = F.transform(_all(F.col("t"), r"(?is)<th\b[^>]*>(.*?)</th>", 1), lambda h: F.lower(strip_tags(h)))
-    headed = tables.select(key, "table_no", "t", headers.alias("headers"))  # before the rows, so once per table
-    rows = headed.select(key, "table_no", "headers", F.posexplode(_all(F.col("t"), r"(?is)<tr\b.*?(?:</tr>|$)")).alias("row_no", "r"))
-    cells = staged(rows, {"cells": F.transform(_all(F.col("r"), _CELL, 1), strip_tags)})
-    return cells.select(key, "table_no", "row_no", "headers", "cells").filter(F.size("cells") >= 2)
-
-
 def price_rows(pages: DataFrame, lo: float = 20, hi: float = 500, key: str = "page_id") -> DataFrame:
-    """Dated mid prices of each page: table rows, then embedded JSON; the later mention wins."""
-    cells = table_cells(pages, key)
-    mids = F.transform("headers", lambda h: (h == "mid") | h.contains("average mid"))
-    mid = F.array_position(mids, True)
-    value = F.coalesce(
-        F.when(mid > 0, parse_number(F.get("cells", (mid - 1).cast("int")), lo, hi)), parse_number(F.get("cells", F.lit(1)), lo, hi)
-    )
-    read = staged(cells, {"obs_date": parse_day(F.get("cells", F.lit(0))), "value": value})
-    in_tables = read.select(
-        key, "obs_date", "value", F.lit(0).alias("phase"), (F.col("table_no") * 1_000_000 + F.col("row_no")).alias("pos")
-    )
-
-    def in_json(pattern: str, day_group: int, value_group: int, phase: int) -> DataFrame:
-        found = pages.select(key, F.posexplode(_all(F.col("html"), "(?i)" + pattern)).alias("pos", "m"))
-        return found.select(
-            key,
-            F.regexp_extract("m", "(?i)" + pattern, day_group).try_cast("date").alias("obs_date"),
-            parse_number(F.regexp_extract("m", "(?i)" + pattern, value_group), lo, hi).alias("value"),
-            F.lit(phase).alias("phase"),
-            "pos",
-        )
-
-    every = in_tables.unionByName(in_json(JSON_DATE_FIRST, 1, 2, 1)).unionByName(in_json(JSON_PRICE_FIRST, 2, 1, 2))
-    kept = every.filter(F.col("obs_date").isNotNull() & F.col("value").isNotNull())
-    last = first_per_key(kept, [key, "obs_date"], [F.desc("phase"), F.desc("pos")])
+    """Dated mid prices of each page: table rows, then embedded JSON; the later mention wins.
+
+    One pass over the text: a page becomes its tables and JSON mentions, a table its rows, and each of
+    these one date and value.
+    """
+    found = [_all(F.col("html"), r"(?is)<table\b.*?</table>"), _all(F.col("html"), "(?i)" + JSON_DATE_FIRST), _all(F.col("html"), "(?i)" + JSON_PRICE_FIRST)]
+    phased = lambda k: lambda t, n: F.struct(F.lit(k).alias("phase"), n.alias("part"), t.alias("t"))
+    parts = F.concat(*[F.transform(x, phased(k)) for k, x in enumerate(found)])
+    in_table = F.col("phase") == 0
+    headers = F.when(in_table, F.transform(_all(F.col("t"), r"(?is)<th\b[^>]*>(.*?)</th>", 1), lambda h: F.lower(strip_tags(h))))
+    headed = pages.select(key, F.inline(parts)).select(key, "phase", "part", "t", headers.alias("headers"))  # before the rows, so once per table
+    pieces = F.when(in_table, _all(F.col("t"), r"(?is)<tr\b.*?(?:</tr>|$)")).otherwise(F.array("t"))
+    rows = headed.select(key, "phase", "part", "headers", F.posexplode(pieces).alias("row_no", "r"))
+    rows = staged(rows, {"cells": F.when(in_table, F.transform(_all(F.col("r"), _CELL, 1), strip_tags))})
+    mid = F.array_position(F.transform("headers", lambda h: (h == "mid") | h.contains("average mid")), True)
+    cell = lambda n: F.get("cells", n)
+    in_rows = F.coalesce(F.when(mid > 0, parse_number(cell((mid - 1).cast("int")), lo, hi)), parse_number(cell(F.lit(1)), lo, hi))
+    json = lambda first, second: F.when(F.col("phase") == 1, F.regexp_extract("r", "(?i)" + JSON_DATE_FIRST, first)).otherwise(F.regexp_extract("r", "(?i)" + JSON_PRICE_FIRST, second))
+    day = F.when(in_table, parse_day(cell(F.lit(0)))).otherwise(json(1, 2).try_cast("date"))
+    value = F.when(in_table, in_rows).otherwise(parse_number(json(2, 1), lo, hi))
+    read = staged(rows.filter(~in_table | (F.size("cells") >= 2)), {"obs_date": day, "value": value})
+    kept = read.filter(F.col("obs_date").isNotNull() & F.col("value").isNotNull())
+    last = first_per_key(kept, [key, "obs_date"], [F.desc("phase"), F.desc("part"), F.desc("row_no")])
     return last.select(key, "obs_date", F.bround("value", 2).alias("value"))
 
 
