@@ -34,7 +34,7 @@ def op4_arc_to_warc(spark, sf):
     page = lambda: F.regexp_extract("url", r"#page=(-?[0-9]*)$", 1).try_cast("long")
     arc.write_warc(arc.to_warc(records.withColumn("page_id", page()), "page_id"), f"{folder}/warc")
     read = cut_lineage(arc.read_warc(spark, f"{folder}/warc").withColumn("page_id", page()).drop("payload"))
-    heads = read.where("record_type = 'response' and payload_bytes >= 1000").select(F.col("record_id").alias("refers_to_id"), F.col("page_id").alias("refers_to"))
+    heads = read.where("record_type = 'response' and payload_bytes >= 1000").select(F.col("record_id").alias("refers_to_id"), F.col("page_id").alias("refers_to")).distinct()  # rows that share a page id share its record id
     return read.join(heads, "refers_to_id", "left").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
