@@ -22,6 +22,7 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each family of near copies: SimHash links, then bands for wider pairs, all verified."""
     return near_copies.keep_dissimilar(docs)
 
 

@@ -1,10 +1,12 @@
 """Near copies by the similarity of their word runs: documents whose five-word runs have a Jaccard
 similarity of 0.8 or more are linked, and one row of each component stays.
 
-Candidates share a band of min-wise hashes; every pair that decides a link is verified on the whole
-sets of runs. A pair of similarity s shares one of ``BANDS`` bands of ``ROWS`` hashes with probability
-1 - (1 - s ** ROWS) ** BANDS: 0.9993 at 0.8. A 64-bit SimHash cannot do this step, as pairs at 0.8
-differ in ten bits on average and no mask of the rest is both selective and likely to agree.
+SimHash comes first: classes whose fingerprints, folded from the hashes of their runs, are within ``RADIUS``
+bits meet by the operator's bit groups (``simhash.fingerprint_links``). A pair at 0.8 differs in ten bits on
+average, so min-wise bands then look for what SimHash cannot reach, among classes it has not joined.
+A pair of similarity s shares one of ``BANDS`` bands of ``ROWS`` hashes with probability
+1 - (1 - s ** ROWS) ** BANDS: 0.9993 at 0.8. Every pair of either step that decides a link is verified on the
+whole sets of runs.
 
 Documents with equal sets are one class. The classes of a bucket meet one of them, by another order each
 round until a round adds no link, so that a large family is joined by stars. Classes that share a bucket
@@ -27,8 +29,9 @@ from pyspark.sql import functions as F
 
 from newsgrid.llm.common import column_map, cut_lineage
 from newsgrid.llm.line_frequency import WORD
-from newsgrid.llm.simhash import LOWER, components
+from newsgrid.llm.simhash import LOWER, components, fingerprint_links, folded
 
+RADIUS = 3  # bits two fingerprints may differ in
 BANDS, ROWS = 24, 6
 STARS = 4  # most rounds in which a bucket's classes meet one of them only
 A_SALT = 64  # pairs of one class that are verified in one task
@@ -61,19 +64,26 @@ def marked(docs: DataFrame) -> DataFrame:
 
 
 def run_sets(docs: DataFrame, width: int, banded: bool) -> DataFrame:
-    """(doc_id, mark, digest of the set) with the set's size and the keys of its bands, or else its runs."""
-    types = "doc_id long, mark string, digest string, " + ("n int, bands array<long>" if banded else "runs array<long>")
+    """(doc_id, mark, digest of the set) with the set's size, fingerprint and the keys of its bands, or else its runs."""
+    types = "doc_id long, mark string, digest string, " + ("n int, fp long, bands array<long>" if banded else "runs array<long>")
 
     def of(frame: pd.DataFrame) -> pd.DataFrame:
         sets = [run_hashes(t, width) for t in frame["text"]]
         out = {"doc_id": frame["doc_id"], "mark": frame["mark"], "digest": [xxhash.xxh128_hexdigest(s.tobytes()) for s in sets]}
-        more = {"n": list(map(len, sets)), "bands": list(map(band_keys, sets))} if banded else {"runs": [s.view(np.int64) for s in sets]}
+        more = {"n": list(map(len, sets)), "fp": np.array([folded(s) for s in sets], np.uint64).view(np.int64), "bands": list(map(band_keys, sets))} if banded else {"runs": [s.view(np.int64) for s in sets]}
         return pd.DataFrame(out | more)
 
     held = marked(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("__mark").alias("mark"), "text")
     return held.mapInPandas(column_map(of), types)
 
 
+def fingerprint_pairs(classes: DataFrame) -> DataFrame:
+    """(a, b) of the classes (node, fp) that SimHash joins: stars of equal fingerprints and of those within ``RADIUS`` bits."""
+    heads = cut_lineage(classes.groupBy("fp").agg(F.min("node").alias("head")))
+    equal = classes.join(heads, "fp").where("node <> head").select(F.col("node").alias("a"), F.col("head").alias("b"))
+    return equal.unionByName(fingerprint_links(heads, RADIUS)).distinct()
+
+
 def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """(a, b, ok): whether the sets of both have that Jaccard similarity. A class in many pairs meets them in many tasks."""
     often = pairs.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / A_SALT).cast("int").alias("salts"))
@@ -104,14 +114,16 @@ def prefix_pairs(places: DataFrame, sets: DataFrame, similarity: float) -> DataF
 def similar_components(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:
     """(doc_id, mark, component_id, lead) of every row with an id; ``lead`` marks the component's least (id, text)."""
     told = cut_lineage(run_sets(docs, width, True))
-    classes = told.groupBy("digest").agg(F.min(F.struct("doc_id", "mark")).alias("head"), F.min("n").alias("n"), F.first("bands").alias("bands"))
+    classes = told.groupBy("digest").agg(F.min(F.struct("doc_id", "mark")).alias("head"), F.min("n").alias("n"), F.first("fp").alias("fp"), F.first("bands").alias("bands"))
     # A repeated id may lead several classes, so a class is named by its digest's hash.
     classes = cut_lineage(classes.withColumn("node", F.xxhash64("digest")))
     keys = classes.select("node", "n", F.posexplode("bands").alias("t", "key"))
     shared = keys.groupBy("t", "key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("t", "key")
     buckets = cut_lineage(keys.join(shared, ["t", "key"]))
-    # Runs are made again for the classes that share a bucket only, as they take more room than texts.
-    met = cut_lineage(classes.join(buckets.select("node").distinct(), "node").select("node", "digest", F.col("head.doc_id").alias("doc_id"), F.col("head.mark").alias("mark")))
+    near = cut_lineage(fingerprint_pairs(classes.select("node", "fp")))
+    # Runs are made again for the classes that meet others only, as they take more room than texts.
+    meeting = buckets.select("node").unionByName(near.select(F.explode(F.array("a", "b")).alias("node"))).distinct()
+    met = cut_lineage(classes.join(meeting, "node").select("node", "digest", F.col("head.doc_id").alias("doc_id"), F.col("head.mark").alias("mark")))
     again = docs.join(met.select("doc_id").distinct(), "doc_id", "left_semi")
     sets = cut_lineage(run_sets(again, width, False).join(met, ["doc_id", "mark", "digest"]).select("node", "runs").dropDuplicates(["node"]))
 
@@ -128,17 +140,18 @@ def similar_components(docs: DataFrame, width: int = 5, similarity: float = 0.8)
     def links_of(pairs: DataFrame) -> DataFrame:
         return cut_lineage(verified(pairs, sets, similarity).where("ok").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
 
-    links, tested = None, None
+    alike = links_of(near)
+    links, tested = None if alike.isEmpty() else joined(alike, None), near
     for turn in range(STARS):
         now = placed(links)
         heads = now.groupBy("t", "key").agg(F.min_by(F.struct("node", "n", "at"), F.xxhash64(F.lit(turn), "node")).alias("h"))
         pairs = now.join(heads, ["t", "key"]).where("at <> h.at").where(F.least("n", "h.n") >= similarity * F.greatest("n", "h.n") - 1e-9)
         pairs = pairs.select(F.col("node").alias("a"), F.col("h.node").alias("b")).distinct()
-        pairs = cut_lineage(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"))
+        pairs = cut_lineage(pairs.join(tested, ["a", "b"], "left_anti"))
         found = links_of(pairs)
         if found.isEmpty():
             break
-        tested = pairs if tested is None else tested.unionByName(pairs)
+        tested = tested.unionByName(pairs)
         links = joined(found, links)
     now = placed(links)
     mixed = now.groupBy("t", "key").agg(F.min("at").alias("lo"), F.max("at").alias("hi")).where("lo < hi").select("t", "key")

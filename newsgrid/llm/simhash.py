@@ -42,6 +42,14 @@ def fingerprint(text: str | None, width: int = 3) -> int:
     return int.from_bytes(np.packbits(2 * ones > len(shingles)).tobytes(), "big")
 
 
+def folded(hashes: np.ndarray) -> int:
+    """The fingerprint of a set of 64-bit hashes: each bit set if it is set in over half of them."""
+    ones = np.zeros(64, np.int64)
+    for at in range(0, len(hashes), 8192):
+        ones += np.unpackbits(hashes[at : at + 8192].astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(0, dtype=np.int64)
+    return int.from_bytes(np.packbits(2 * ones > len(hashes)).tobytes(), "big")
+
+
 def fingerprints(docs: DataFrame, text: str = "text", width: int = 3) -> DataFrame:
     @F.pandas_udf("long")
     def of(texts: pd.Series) -> pd.Series:

@@ -80,3 +80,17 @@ def test_long_texts(spark):
     rows = [(1, " ".join(words)), (2, " ".join(words[:59_000])), (3, " ".join(words[:30_000])), (4, "z" * 500_000)]
     got = near_copies.keep_dissimilar(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted(r.doc_id for r in got) == [1, 3, 4]
+
+
+def test_simhash_joins_the_classes_it_can_reach(spark):
+    """Fingerprints of runs within three bits are pairs of the first step; unrelated texts are not."""
+    draw = random.Random(5)
+    long = [f"w{draw.randrange(10**6)}" for _ in range(3000)]
+    texts = [" ".join(long), " ".join([*long[:-1], "end"]), " ".join([*long, "tail"]), " ".join(f"x{k}" for k in range(300)), ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    told = near_copies.run_sets(docs, 5, True).collect()
+    near = lambda x, y: ((x ^ y) & (1 << 64) - 1).bit_count() <= near_copies.RADIUS
+    assert near(told[0].fp, told[1].fp) and near(told[0].fp, told[2].fp) and not near(told[0].fp, told[3].fp)
+    classes = spark.createDataFrame([(r.doc_id, r.fp) for r in told], "node long, fp long")
+    joined = {n for r in near_copies.fingerprint_pairs(classes).collect() for n in r}
+    assert joined == {0, 1, 2}
