@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -9,8 +11,24 @@ from newsgrid import dims
 from newsgrid.functions.text import alias_match, as_col, bind, contains_any, count_terms, distinct_ci, ws_clean
 
 
+def _opened(pattern: str) -> str:
+    """A look at the first letter before ``\\b(?:x|y)\\b``, as the test for a word's begin costs more; others as they are."""
+    body = re.fullmatch(r"\\b\(\?:(.*)\)\\b", pattern)
+    words, depth = [""], 0
+    for ch in body[1] if body else "":
+        depth += (ch == "(") - (ch == ")")
+        if ch == "|" and not depth:
+            words.append("")
+        else:
+            words[-1] += ch
+        if depth < 0:
+            return pattern
+    plain = all(re.match(r"[A-Za-z0-9](?![?*{])", w) for w in words) and not re.search(r"\\[()|]", pattern)
+    return f"(?=[{''.join(sorted({w[0] for w in words}))}]){pattern}" if plain else pattern
+
+
 def _found(c: Column, pattern: str) -> Column:
-    return F.transform(F.regexp_extract_all(c, F.lit("(?iU)" + pattern), F.lit(0)), ws_clean)
+    return F.transform(F.regexp_extract_all(c, F.lit("(?iU)" + _opened(pattern)), F.lit(0)), ws_clean)
 
 
 def extract_terms(title, summary, patterns=tuple(dims.ENTITY_PATTERNS), cap: int = 16) -> Column:
