@@ -23,3 +23,10 @@ def test_patterns_are_sought_once_a_text(spark):
 def test_first_spellings(spark):
     rows = spark.createDataFrame([(["b", None, "A", "a", "B", "c"],), ([],), (None,)], "v array<string>")
     assert [r[0] for r in rows.select(distinct_ci("v")).collect()] == [["b", "A", "c"], [], None]
+
+
+def test_a_term_within_another_is_asked_alone(spark):
+    low = spark.createDataFrame([("sale-leaseback",), ("a loan",), ("",)], "t string")
+    told = low.select(contains_any("t", ["sale-leaseback", "lease", "leasing", "loan"]).alias("x"))
+    assert plan(told).lower().count("contains(") + plan(told).lower().count("sale-leaseback") <= 4
+    assert [r["x"] for r in told.collect()] == [True, True, False]
