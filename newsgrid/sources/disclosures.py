@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsgrid.functions.dates import MONTH_RE, MONTHS, article_date, infer_year, month_end, month_no, month_start, page_date
+from newsgrid.functions.frames import staged
 from newsgrid.functions.text import contains_any, strip_tags
 from newsgrid.operators.dedupe import first_per_key
 
@@ -51,6 +52,9 @@ CARRIER_ARCHIVE_TWO_MONTH = [
 ]
 
 
+MONTHLY, MODERN, TWO_MONTH = 0, 50, 100  # first rule number of each kind of phrasing
+
+
 @dataclass(frozen=True)
 class Style:
     """How one kind of publisher discloses averages."""
@@ -76,16 +80,17 @@ CARRIER_ARCHIVE = Style(
 STYLES = {s.name: s for s in (CARGO, CARGO_ARCHIVE, CARRIER, CARRIER_ARCHIVE)}
 
 
-def _matches(docs: DataFrame, patterns, first_rule: int) -> DataFrame:
-    """(doc columns, rule, pos, g): every match of every pattern with its groups."""
+def _matches(docs: DataFrame, style: Style) -> DataFrame:
+    """(doc columns, rule, pos, g): every match of every pattern with its groups, in one pass over the documents."""
     parts = []
-    for i, p in enumerate(patterns):
-        pattern = "(?i)" + p
-        n_groups = 5 if p.count("(20") == 2 else 3 if p.count("(20") == 1 else 2
-        found = F.regexp_extract_all("text", F.lit(pattern), F.lit(0))
-        # Groups are read back from the matched text; a trailing lazy gap cannot end differently there.
-        groups = lambda m, pattern=pattern, n=n_groups: F.array(*[F.regexp_extract(m, pattern, g) for g in range(1, n + 1)])
-        parts.append(F.transform(found, _tagged(first_rule + i, groups)))
+    for first_rule, patterns in ((MONTHLY, style.monthly), (MODERN, style.modern), (TWO_MONTH, style.two_month)):
+        for i, p in enumerate(patterns):
+            pattern = "(?i)" + p
+            n_groups = 5 if p.count("(20") == 2 else 3 if p.count("(20") == 1 else 2
+            found = F.regexp_extract_all("text", F.lit(pattern), F.lit(0))
+            # Groups are read back from the matched text; a trailing lazy gap cannot end differently there.
+            groups = lambda m, pattern=pattern, n=n_groups: F.array(*[F.regexp_extract(m, pattern, g) for g in range(1, n + 1)])
+            parts.append(F.transform(found, _tagged(first_rule + i, groups)))
     exploded = docs.select("*", F.explode(F.concat(*parts)).alias("x"))
     return exploded.select(*docs.columns, "x.rule", "x.pos", "x.g")
 
@@ -100,31 +105,28 @@ def _year(text):
 
 def disclosed_averages(docs: DataFrame, style: Style, gap: tuple | None = None) -> DataFrame:
     """Typed period averages of (doc_id, url, text) documents, one per document and end date."""
-    base = docs.select("doc_id", "url", strip_tags("text").alias("text"))
+    base = staged(docs.select("doc_id", "url", "text"), {"text": strip_tags("text")})  # cleaned once, whatever reads it
     low = F.lower("text")
     for words in style.must:
         base = base.filter(contains_any(low, words))
     said = {"page": page_date(F.col("text"), *style.years), "article": article_date("text", "url")}.get(style.dated_by, F.lit(None).cast("date"))
-    dated = base.withColumn("said", said)
-    out = None
-    if style.monthly:
-        rows = _matches(dated, style.monthly, 0)
-        month = month_no(rows["g"][0])
-        year = F.coalesce(_year(rows["g"][1]), infer_year(month, "said"))
-        out = rows.select("doc_id", "url", "rule", "pos", month_start(year, month).alias("period_start"), month_end(year, month).alias("period_end"), rows["g"][2].try_cast("double").alias("value"), F.lit("monthly_average").alias("observation_type"))
-    if style.modern:
-        rows = _matches(dated, style.modern, 50)
-        month = month_no(F.regexp_extract(rows["g"][1], "(?i)" + MONTH_RE, 0))
-        year = F.coalesce(_year(F.regexp_extract(rows["g"][1], r"20\d{2}", 0)), infer_year(month, "said"))
-        more = rows.select("doc_id", "url", "rule", "pos", month_start(year, month).alias("period_start"), month_end(year, month).alias("period_end"), rows["g"][0].try_cast("double").alias("value"), F.lit("monthly_average").alias("observation_type"))
-        out = more if out is None else out.unionByName(more)
-    if style.two_month:
-        rows = _matches(dated, style.two_month, 100)
-        m1, y1, m2, y2 = month_no(rows["g"][0]), _year(rows["g"][1]), month_no(rows["g"][2]), _year(rows["g"][3])
-        end_year = F.coalesce(y2, F.when(y1.isNotNull(), F.when(m2 < m1, y1 + 1).otherwise(y1)), infer_year(m2, "said"))
-        start_year = F.coalesce(y1, F.when(m1 > m2, end_year - 1).otherwise(end_year))
-        more = rows.select("doc_id", "url", "rule", "pos", month_start(start_year, m1).alias("period_start"), month_end(end_year, m2).alias("period_end"), rows["g"][4].try_cast("double").alias("value"), F.lit("two_month_average").alias("observation_type"))
-        out = more if out is None else out.unionByName(more)
+    rows = _matches(base.withColumn("said", said), style)
+    g = lambda n: F.get("g", F.lit(n))
+    period = lambda y1, m1, y2, m2, value, kind: F.struct(
+        month_start(y1, m1).alias("period_start"), month_end(y2, m2).alias("period_end"), value.try_cast("double").alias("value"), F.lit(kind).alias("observation_type")
+    )
+    month = month_no(g(0))
+    year = F.coalesce(_year(g(1)), infer_year(month, "said"))
+    monthly = period(year, month, year, month, g(2), "monthly_average")
+    month = month_no(F.regexp_extract(g(1), "(?i)" + MONTH_RE, 0))
+    year = F.coalesce(_year(F.regexp_extract(g(1), r"20\d{2}", 0)), infer_year(month, "said"))
+    modern = period(year, month, year, month, g(0), "monthly_average")
+    m1, y1, m2, y2 = month_no(g(0)), _year(g(1)), month_no(g(2)), _year(g(3))
+    end_year = F.coalesce(y2, F.when(y1.isNotNull(), F.when(m2 < m1, y1 + 1).otherwise(y1)), infer_year(m2, "said"))
+    start_year = F.coalesce(y1, F.when(m1 > m2, end_year - 1).otherwise(end_year))
+    two_month = period(start_year, m1, end_year, m2, g(4), "two_month_average")
+    read = F.when(F.col("rule") < MODERN, monthly).when(F.col("rule") < TWO_MONTH, modern).otherwise(two_month)
+    out = rows.select("doc_id", "url", "rule", "pos", F.inline(F.array(read)))
     kept = out.filter(F.col("period_start").isNotNull() & F.col("period_end").isNotNull() & F.col("value").between(style.lo, style.hi))
     if gap:
         kept = kept.filter(F.col("period_end").between(F.lit(gap[0]).cast("date"), F.lit(gap[1]).cast("date")))

@@ -30,3 +30,9 @@ def test_a_term_within_another_is_asked_alone(spark):
     told = low.select(contains_any("t", ["sale-leaseback", "lease", "leasing", "loan"]).alias("x"))
     assert plan(told).lower().count("contains(") + plan(told).lower().count("sale-leaseback") <= 4
     assert [r["x"] for r in told.collect()] == [True, True, False]
+
+
+def test_disclosures_clean_and_read_a_text_once(spark):
+    docs = spark.range(1).select(F.col("id").alias("doc_id"), F.lit("u").alias("url"), F.concat(F.lit("singapore kerosene "), F.col("id")).alias("text"))
+    told = plan(disclosures.disclosed_averages(docs, disclosures.CARRIER_ARCHIVE))
+    assert told.count("<template") == 1 and told.count("Range (") == 1
