@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from newsgrid.functions.text import as_col
+from newsgrid.functions.text import as_col, bind
 
 
 def parse_number(c, lo: float, hi: float) -> Column:
     """First signed number once thousands commas are removed, null outside [lo, hi]."""
     n = F.regexp_extract(F.replace(as_col(c), F.lit(","), F.lit("")), r"-?\d+(?:\.\d+)?", 0).try_cast("double")
-    return F.when(n.between(lo, hi), n)
+    return bind(n, lambda n: F.when(n.between(lo, hi), n))
 
 
 def clamp_int(c, lo: int = 0, hi: int = 100, default=0) -> Column:

@@ -36,3 +36,10 @@ def test_disclosures_clean_and_read_a_text_once(spark):
     docs = spark.range(1).select(F.col("id").alias("doc_id"), F.lit("u").alias("url"), F.concat(F.lit("singapore kerosene "), F.col("id")).alias("text"))
     told = plan(disclosures.disclosed_averages(docs, disclosures.CARRIER_ARCHIVE))
     assert told.count("<template") == 1 and told.count("Range (") == 1
+
+
+def test_a_months_name_is_read_once(spark):
+    names = spark.createDataFrame([("Jan.",), ("december",), ("x",), (None,)], "t string")
+    told = names.select(month_no(F.regexp_extract("t", "[A-Za-z.]+", 0)).alias("m"))
+    assert plan(told).count("regexp_extract") <= 1
+    assert [r["m"] for r in told.collect()] == [1, 12, None, None]
