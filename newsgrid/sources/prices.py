@@ -60,9 +60,11 @@ def week_grid_rows(grid: DataFrame, label: str = "label", cells: str = "cells")
     text = ws_clean(label)
     start = make_ts(F.regexp_extract(text, _WEEK, 1), month_no(F.regexp_extract(text, _WEEK, 2)), F.regexp_extract(text, _WEEK, 3))
     kept = [c for c in grid.columns if c not in (label, cells)]
-    rows = grid.select(*kept, start.cast("date").alias("_start"), F.posexplode(F.slice(cells, 1, 5)).alias("day", "cell"))
-    out = rows.select(*kept, F.date_add("_start", F.col("day")).alias("obs_date"), parse_number("cell", 0.01, 1000).alias("value"))
-    return out.filter(F.col("obs_date").isNotNull() & F.col("value").isNotNull())
+    read = F.transform(F.slice(cells, 1, 5), lambda c, i: F.struct(i.alias("day"), parse_number(c, 0.01, 1000).alias("value")))
+    # One generator for the label, one for the cells: a filter cannot be pushed below them and parse the text again.
+    weeks = staged(grid, {"_start": start.cast("date")}).filter("_start IS NOT NULL")
+    rows = weeks.select(*kept, "_start", F.inline(read))
+    return rows.filter("value IS NOT NULL").select(*kept, F.date_add("_start", F.col("day")).alias("obs_date"), "value")
 
 
 def monthly_rows(lines: DataFrame, first: str = "1990-01", last: str = "2021-09", floor: float = 100) -> DataFrame:

@@ -43,3 +43,10 @@ def test_a_months_name_is_read_once(spark):
     told = names.select(month_no(F.regexp_extract("t", "[A-Za-z.]+", 0)).alias("m"))
     assert plan(told).count("regexp_extract") <= 1
     assert [r["m"] for r in told.collect()] == [1, 12, None, None]
+
+
+def test_week_labels_are_parsed_once_a_row(spark):
+    grid = spark.createDataFrame([(1, "2024 Jan- 1 to Jan-05", ["1.5", " - ", "2,000", "3", "n/a", "9"]), (2, "no week", ["1"]), (3, None, None)], "k int, label string, cells array<string>")
+    rows = prices.week_grid_rows(grid)
+    assert plan(rows).count("make_timestamp") <= 1
+    assert [(r["k"], str(r["obs_date"]), r["value"]) for r in rows.orderBy("obs_date").collect()] == [(1, "2024-01-01", 1.5), (1, "2024-01-04", 3.0)]
