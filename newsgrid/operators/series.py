@@ -189,11 +189,9 @@ def moving_conflicts(rows: DataFrame, eps: float, order: str = "event_id", keys=
             yield from held.groupby([*keys, "span"], sort=False, dropna=False)
 
     def summed(batches):
-        out = []
         for key, part in runs(batches):
             made = Outcome(part["value"].tolist(), eps)
-            out.append((*key, made.first, made.starts, made.ends, made.last))
-        yield pd.DataFrame(out, columns=[*keys, "span", "first", "starts", "ends", "last"])
+            yield pd.DataFrame([(*key, made.first, made.starts, made.ends, made.last)], columns=[*keys, "span", "first", "starts", "ends", "last"])
 
     outcomes = spread(ranged).mapInPandas(summed, f"{named}, first double, starts array<double>, ends array<double>, last array<double>")
 
@@ -209,15 +207,18 @@ def moving_conflicts(rows: DataFrame, eps: float, order: str = "event_id", keys=
     starts = outcomes.groupBy(*keys).applyInPandas(carried, f"{named}, start_value double")
 
     def replayed(batches):
-        out = []
-        for _, part in runs(batches):
-            kept = part["start_value"].iloc[0]
-            for row in part.itertuples(index=False):
-                if kept is None or kept != kept or near(kept, row.value, eps):
-                    kept = row.value
-                else:
-                    out.append((*[getattr(row, k) for k in keys], getattr(row, order), kept, row.value))
-        yield pd.DataFrame(out, columns=[*keys, order, "kept_value", "value"])
+        at = kept = None  # the range of the row before and the value kept there; a batch is answered at once
+        for batch in batches:
+            held = []
+            places = zip(*[batch[k].astype(object).where(batch[k].notna(), None) for k in [*keys, "span"]])
+            for place, start, value in zip(places, batch["start_value"].tolist(), batch["value"].tolist()):
+                if place != at:
+                    at, kept = place, start
+                differs = not (kept is None or kept != kept or near(kept, value, eps))
+                kept = kept if differs else value
+                held.append(kept if differs else None)
+            told = batch[[*keys, order]].assign(kept_value=pd.Series(held, index=batch.index, dtype="float64"), value=batch["value"])
+            yield told[told["kept_value"].notna()]
 
     schema = ", ".join(f"{k} {typed[k]}" for k in [*keys, order]) + ", kept_value double, value double"
     return spread(ranged.join(starts, [*keys, "span"])).mapInPandas(replayed, schema)
